@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moodtide.functions.classes import opinion_class
 from moodtide.functions.numbers import clamp_score
-from moodtide.functions.text import tokens
+from moodtide.functions.text import clean_text, tokens
 from moodtide.operators.filters import require_columns
 from moodtide.schemas import NEGATIVE_TO, POSITIVE_FROM
 
@@ -193,9 +194,6 @@ def score_with(
     ``load_scorer`` runs once per task and returns the function; blank texts are not passed to it,
     and an error or a result that is not a float gives no score. The text is cleaned by Spark first.
     """
-    import pandas as pd
-
-    from moodtide.functions.text import clean_text
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

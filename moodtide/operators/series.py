@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from moodtide.functions.dates import calendar_parts, day_string, parse_day
+from moodtide.functions.dates import DAY_FORMAT, calendar_parts, day_string, parse_day, shift_day
 from moodtide.operators.filters import complete_cases, fill_numbers
 from moodtide.schemas import WHOLE_TABLE
 
@@ -88,6 +88,16 @@ def last_rows(features: DataFrame) -> DataFrame:
     return features.groupBy("series").agg(latest).select("series", "latest.*")
 
 
+def future_calendar(features: DataFrame, horizon: int) -> DataFrame:
+    """The ``horizon`` days after the last one of each series, with their calendar parts."""
+    last = features.groupBy("series").agg(F.max(parse_day(F.col("date"))).alias("last_date"))
+    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")
+    days = last.select("series", "last_date", steps).withColumn("day", shift_day(F.col("last_date"), F.col("step")))
+    return days.select("series", F.date_format("day", DAY_FORMAT).alias("date"), "day").withColumns(
+        calendar_parts(F.col("day"))
+    ).drop("day")
+
+
 def standardised(features: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """Columns minus the training mean over the training deviation; a constant column becomes 0."""
     stats = train.agg(

@@ -15,10 +15,12 @@ from moodtide.operators.reports import (
     note_comment_stats,
     sample_rows,
     tag_frequency,
+    top_rows,
 )
 from moodtide.plans.trend import forecast_trend
 from moodtide.schemas import COMMENTS, DETAIL_SAMPLE_ROWS, NOTES, REPORTS, TOP_LOCATION_ROWS, TOP_TAG_ROWS
 from moodtide.sources.writers import write_report, write_table
+from moodtide.storage import store
 
 KEY = ["type", "id"]
 
@@ -73,8 +75,10 @@ def _scored_reports(
 
     write_report(class_distribution(scored), f"{folder}/combined_sentiment_distribution")
     write_report(class_by_day(scored, zone), f"{folder}/combined_sentiment_over_time")
-    by_location = class_by_location(scored)
-    write_report(by_location.limit(TOP_LOCATION_ROWS), f"{folder}/combined_sentiment_by_location_sample")
+    by_location = store(class_by_location(scored), "by_location")
+    write_report(by_location, f"{folder}/combined_sentiment_by_location")
+    largest = top_rows(by_location, TOP_LOCATION_ROWS, "count", "ip_location", "sentiment_category")
+    write_report(largest, f"{folder}/combined_sentiment_by_location_sample")
 
     first = sample_rows(scored, DETAIL_SAMPLE_ROWS, *KEY)
     details = texts.select(*KEY, "text").join(first, KEY).select(REPORTS["combined_sentiment_sample_details"].names)

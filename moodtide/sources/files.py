@@ -8,8 +8,7 @@ from pyspark.sql.types import StructType
 
 from moodtide.schemas import POSTS, REPORTS
 
-# The form of the posts time column.
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Spark's name for the error of a path that does not exist.
 MISSING_PATH = "PATH_NOT_FOUND"
 
 
@@ -21,8 +20,7 @@ def read_csv(
     ``multi_line`` is needed for text with line breaks and makes each file one task: leave it off for
     large inputs and keep those in Parquet.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"', "timestampFormat": TIMESTAMP_FORMAT}
-    reader = spark.read.options(**options)
+    reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

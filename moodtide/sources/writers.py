@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from moodtide.operators.reports import sample_rows
 
 FILE_ROWS = 5_000_000
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_table(df: DataFrame, path: str, *partition_by: str, file_rows: int = FILE_ROWS) -> None:
@@ -16,7 +17,7 @@ def write_table(df: DataFrame, path: str, *partition_by: str, file_rows: int = F
 
 def write_report(df: DataFrame, path: str) -> None:
     """Replace a CSV report with a header row; NULL is written as nothing, an empty text as ``""``."""
-    df.write.mode("overwrite").options(header=True, escape='"', quoteAll=False).csv(path)
+    df.write.mode("overwrite").options(header=True, escape='"', timestampFormat=TIMESTAMP_FORMAT).csv(path)
 
 
 def write_sample(df: DataFrame, path: str, n: int, *order: str) -> None:
