@@ -182,7 +182,7 @@ def order_notes(spark: SparkSession, folder: str) -> DataFrame:
         .alias("liked_count"),
         F.when(status == "F", F.concat(F.lit(" "), customer, F.lit(" ")))
         .when(status == "O", F.concat(customer, F.lit(".5")))
-        .otherwise(F.concat(F.lit("-"), customer, F.lit("00000000000000000000")))
+        .otherwise(F.concat(F.lit("-"), customer))
         .alias("comment_count"),
     )
 
@@ -203,7 +203,7 @@ raw_orders AS (
          CASE o_orderpriority WHEN '1-URGENT' THEN '' WHEN '3-MEDIUM' THEN '  ' WHEN '4-NOT SPECIFIED' THEN '1.2w'
               WHEN '5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS liked_text,
          CASE o_orderstatus WHEN 'F' THEN ' ' || o_custkey || ' ' WHEN 'O' THEN o_custkey || '.5'
-              ELSE '-' || o_custkey || '00000000000000000000' END AS comment_text
+              ELSE '-' || o_custkey END AS comment_text
   FROM orders
 ), order_notes AS (
   SELECT note_id, title, {REPAIR_SQL.format('liked_text')} AS liked_count,

@@ -12,8 +12,9 @@ def repair_count(text: Column) -> Column:
     """Numeric text as a long: NULL and blank are 0, ``1.5`` is 1, other text and overflow are NULL.
 
     The plain ``cast`` of a Spark 3 session (ANSI off) gives these values; under ANSI it would raise.
+    Unreadable text is made NULL before the cast: a failing ``try_cast`` costs an exception per row.
     """
-    digits = F.regexp_extract(text, WHOLE_NUMBER_PATTERN, 1)
+    digits = F.nullif(F.regexp_extract(text, WHOLE_NUMBER_PATTERN, 1), F.lit(""))
     return F.when(text.isNull() | (F.trim(text) == ""), F.lit(0).cast("long")).otherwise(digits.try_cast("long"))
 
 

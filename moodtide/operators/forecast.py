@@ -78,12 +78,12 @@ def predict_test_days(rows: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def forecast_start(rows: DataFrame) -> DataFrame:
-    """State per series after its latest day. Count and deviation stay at their latest values."""
+    """State per series after its latest day: newest mean first; count and deviation stay as they are."""
     state = F.struct(
         parse_day(F.col("date")).alias("last_date"),
         F.col("avg_sentiment").alias("sentiment_lag_1"),
         F.coalesce("sentiment_lag_1", F.lit(0.0)).alias("sentiment_lag_2"),
-        F.col("recent"),
+        F.reverse("recent").alias("recent"),
         F.col("post_count").alias("post_count_lag_1"),
         F.coalesce("sentiment_std", F.lit(0.0)).alias("sentiment_std_lag_1"),
     )
@@ -96,29 +96,27 @@ def forecast(rows: DataFrame, model: PipelineModel, horizon: int = 30) -> DataFr
     Each step is a projection over one row per series and feeds its prediction to the next; the
     predictions collect in an array that is unfolded at the end, so no step is computed twice.
     """
-    mean = F.aggregate("recent", F.lit(0.0), lambda total, x: total + x) / F.size("recent")
     next_day = shift_day(F.col("last_date"), 1)
+    mean = F.aggregate("recent", F.lit(0.0), lambda total, x: total + x) / F.size("recent")
+    inputs = {"last_date": next_day, "sentiment_past_7": mean, **calendar_parts(next_day)}
+    latest = F.col("prediction")
+    outcome = [
+        F.col("series"),
+        F.col("last_date"),
+        latest.alias("sentiment_lag_1"),
+        F.col("sentiment_lag_1").alias("sentiment_lag_2"),
+        F.slice(F.concat(F.array(latest), "recent"), 1, MOVING_DAYS).alias("recent"),
+        F.col("post_count_lag_1"),
+        F.col("sentiment_std_lag_1"),
+        F.concat("path", F.array(F.struct(F.col("last_date").alias("day"), latest.alias("value")))).alias("path"),
+    ]
     state = forecast_start(rows).withColumn("path", F.array().cast("array<struct<day:date,value:double>>"))
     for step in range(1, horizon + 1):
-        known = state.withColumns({"last_date": next_day, "sentiment_past_7": mean, **calendar_parts(next_day)})
-        state = (
-            model.transform(known)
-            .withColumn("value", clamp_score(F.col("prediction")))
-            .select(
-                "series",
-                "last_date",
-                F.col("value").alias("sentiment_lag_1"),
-                F.col("sentiment_lag_1").alias("sentiment_lag_2"),
-                F.slice(F.concat("recent", F.array("value")), -MOVING_DAYS, MOVING_DAYS).alias("recent"),
-                "post_count_lag_1",
-                "sentiment_std_lag_1",
-                F.concat("path", F.array(F.struct(F.col("last_date").alias("day"), "value"))).alias("path"),
-            )
-        )
+        state = model.transform(state.withColumns(inputs)).select(outcome)
         if step % STACKED_STEPS == 0 and step < horizon:
             state = state.checkpoint()
     return state.select("series", F.explode("path").alias("point")).select(
         "series",
         F.date_format("point.day", DAY_FORMAT).alias("date"),
-        F.col("point.value").alias("predicted_sentiment"),
+        clamp_score(F.col("point.value")).alias("predicted_sentiment"),
     )

@@ -8,6 +8,7 @@ A text without known tokens has no score and is classed as unknown.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -206,7 +207,9 @@ def score_with(
                 value = scorer(text)
             except Exception:
                 return None
-            return value if isinstance(value, float) else None
+            if not isinstance(value, float):
+                return None
+            return 0.0 if math.isnan(value) else value  # Arrow would turn NaN into NULL
 
         for texts in batches:
             yield texts.map(one).astype("float64")

@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 
 from moodtide.schemas import POSTS, REPORTS
 
+# An empty field is NULL, a quoted empty field an empty text: the NULL marker must not be the empty text.
+NULL_MARK = "\\N"
 # Spark's name for the error of a path that does not exist.
 MISSING_PATH = "PATH_NOT_FOUND"
 
@@ -21,8 +23,9 @@ def read_csv(
     large inputs and keep those in Parquet.
     """
     reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.option("nullValue", NULL_MARK).schema(schema).csv(path)
 
 
 def read_posts(
