@@ -148,14 +148,17 @@ scores AS (
 )"""
 
 
-def located_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Scored records with the user's nation as location, blank for unknown users."""
+def located_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored records counted per user and class, with the user's nation as location.
+
+    Counting comes before the join, so a user with very many records joins as four rows.
+    """
     users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nations = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("ip_location")
     )
-    places = users.join(nations, "c_nationkey")
-    return scored_events(spark, folder).join(places, "user_id", "left")
+    counted = scored_events(spark, folder).groupBy("user_id", "sentiment_category").agg(F.count("*").alias("records"))
+    return counted.join(users, "user_id", "left").join(nations, "c_nationkey", "left")
 
 
 LOCATED_SQL = f"""{SCORED_SQL}, located AS (

@@ -14,7 +14,7 @@ from catalogue.bindings import (
     TAGS_SQL,
     comments,
     event_millis,
-    located_events,
+    located_counts,
     notes,
     order_comments,
     order_notes,
@@ -113,9 +113,13 @@ def class_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return reports.class_by_day(scored_events(spark, folder))
 
 
+def _by_location(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.class_by_location(located_counts(spark, folder), times="records")
+
+
 @register(f'WITH {LOCATED_SQL} SELECT ip_location, sentiment_category, "count" FROM by_location')
 def class_by_location(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.class_by_location(located_events(spark, folder))
+    return _by_location(spark, folder)
 
 
 @register(f"WITH {TAGS_SQL} SELECT tag, tag_count FROM tags")
@@ -145,7 +149,7 @@ def class_totals_share(spark: SparkSession, folder: str) -> DataFrame:
 @register(f"""WITH {LOCATED_SQL}
 SELECT ip_location, CAST(sum("count") AS BIGINT) AS "count" FROM by_location GROUP BY 1""")
 def location_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.location_totals(reports.class_by_location(located_events(spark, folder)))
+    return reports.location_totals(_by_location(spark, folder))
 
 
 @register(f"""WITH {LOCATED_SQL}, top_places AS (
@@ -154,14 +158,14 @@ def location_totals(spark: SparkSession, folder: str) -> DataFrame:
 SELECT ip_location, sentiment_category, "count" FROM by_location
 WHERE ip_location IN (SELECT ip_location FROM top_places)""")
 def top_location_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.top_location_classes(reports.class_by_location(located_events(spark, folder)), TOP_LOCATIONS)
+    return reports.top_location_classes(_by_location(spark, folder), TOP_LOCATIONS)
 
 
 @register(f"""WITH {LOCATED_SQL}
 SELECT ip_location, sentiment_category, "count" FROM by_location WHERE sentiment_category = 'negative'
 ORDER BY "count" DESC, ip_location LIMIT {TOP_LOCATIONS}""")
 def top_negative_locations(spark: SparkSession, folder: str) -> DataFrame:
-    by_location = reports.class_by_location(located_events(spark, folder))
+    by_location = _by_location(spark, folder)
     return reports.top_location_classes(by_location, TOP_LOCATIONS, "negative")
 
 

@@ -83,4 +83,4 @@ def filtered(df: DataFrame, **choices: str | None) -> DataFrame:
 
 def members(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """Rows whose key occurs in ``keys``: a left-semi join, whatever the size of the list."""
-    return df.join(keys.select(name), name, "left_semi")
+    return df.join(keys.select(name).distinct(), name, "left_semi")

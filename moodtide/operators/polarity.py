@@ -27,7 +27,7 @@ LOGIT_LIMIT = 500.0
 BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
-# Beyond it only the most frequent short tokens are: 200,000 rows of at most 64 characters.
+# Beyond it only the most frequent short tokens are: at most 200,000 rows of at most 64 characters.
 HEAD_ROWS = 200_000
 HEAD_TOKEN_CHARS = 64
 TAIL_SALTS = 16
@@ -100,6 +100,23 @@ def _sums_with_whole_model(pieces: DataFrame, group: Sequence[str], model: DataF
     )
 
 
+def frequent_tokens(model: DataFrame, limit: int) -> DataFrame:
+    """Short tokens above a power of two of occurrences, the lowest that leaves at most ``limit`` rows.
+
+    The power is read off a histogram by bit length, which has at most 64 rows; sorting the
+    vocabulary for its top would push ``limit`` rows of every partition through one task.
+    """
+    short = model.filter(F.length("token") <= HEAD_TOKEN_CHARS)
+    bits = F.length(F.bin("occurrences")).alias("bits")
+    floor, taken = None, 0
+    for level in sorted(short.groupBy(bits).count().collect(), reverse=True):
+        taken += level["count"]
+        if taken > limit:
+            break
+        floor = 2 ** (level["bits"] - 1)
+    return short.filter(F.lit(False) if floor is None else F.col("occurrences") >= floor)
+
+
 def _sums_with_split_model(
     pieces: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int
 ) -> DataFrame:
@@ -109,8 +126,7 @@ def _sums_with_split_model(
     rare token. Rows that need no second join get a wide salt of their own, so neither the NULL key
     nor a token that is rare in training but common here lands in one task.
     """
-    short = F.length("token") <= HEAD_TOKEN_CHARS
-    head = model.filter(short).orderBy(F.desc("occurrences"), "token").limit(head_rows)
+    head = frequent_tokens(model, head_rows)
     head_weights = F.broadcast(head.select(F.col("token").alias("_token"), F.col("weight").alias("_weight")))
 
     spread = F.xxhash64(*group)

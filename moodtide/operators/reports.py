@@ -32,10 +32,15 @@ def class_distribution(scored: DataFrame) -> DataFrame:
     )
 
 
-def class_counts(scored: DataFrame, *keys: str) -> DataFrame:
-    """Rows per key and class, unordered."""
+def class_counts(scored: DataFrame, *keys: str, times: str | None = None) -> DataFrame:
+    """Records per key and class, unordered.
+
+    ``times`` names a column with the number of records a row stands for, in tables that were
+    counted before a join.
+    """
     require_columns(scored, [*keys, CLASS])
-    return scored.groupBy(*keys, CLASS).agg(F.count("*").alias("count"))
+    records = F.count("*") if times is None else F.sum(times)
+    return scored.groupBy(*keys, CLASS).agg(records.alias("count"))
 
 
 def platform_class_counts(scored: DataFrame) -> DataFrame:
@@ -47,11 +52,10 @@ def class_by_day(scored: DataFrame, zone: str | None = None) -> DataFrame:
     return class_counts(dated, "date").orderBy("date", CLASS)
 
 
-def class_by_location(scored: DataFrame) -> DataFrame:
-    """Rows per place and class, largest first; rows without a place are left out."""
-    return class_counts(with_key(scored, "ip_location"), "ip_location").orderBy(
-        F.desc("count"), "ip_location", CLASS
-    )
+def class_by_location(scored: DataFrame, times: str | None = None) -> DataFrame:
+    """Records per place and class, largest first; those without a place are left out."""
+    placed = with_key(scored, "ip_location")
+    return class_counts(placed, "ip_location", times=times).orderBy(F.desc("count"), "ip_location", CLASS)
 
 
 # Comments.
@@ -91,7 +95,7 @@ def orphan_comments(notes: DataFrame, comments: DataFrame) -> DataFrame:
     return (
         comments.groupBy("note_id")
         .agg(F.count("*").alias("n"))
-        .join(notes.select("note_id"), "note_id", "left_anti")
+        .join(notes.select("note_id").distinct(), "note_id", "left_anti")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_comments"), F.count("*").alias("missing_notes"))
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from moodtide.operators.filters import repair_counts, require_columns, valid_comments, valid_notes
 from moodtide.operators.polarity import score_records
@@ -81,7 +81,8 @@ def _scored_reports(
     write_report(largest, f"{folder}/combined_sentiment_by_location_sample")
 
     first = sample_rows(scored, DETAIL_SAMPLE_ROWS, *KEY)
-    details = texts.select(*KEY, "text").join(first, KEY).select(REPORTS["combined_sentiment_sample_details"].names)
+    with_text = texts.select(*KEY, "text").join(F.broadcast(first), KEY)
+    details = with_text.select(REPORTS["combined_sentiment_sample_details"].names)
     write_report(details.orderBy(*KEY), f"{folder}/combined_sentiment_sample_details")
 
     trend = forecast_trend(scored, None, horizon, test_size, zone)

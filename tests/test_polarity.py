@@ -149,3 +149,12 @@ def test_plugged_in_scorer(spark):
         (0.5, "neutral"), unknown, unknown, unknown, unknown, unknown,
         (0.0, "negative"), (1.0, "positive"), (0.0, "negative"),
     ]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 10, 10**6])
+def test_frequent_tokens_are_bounded_and_the_largest(model, limit):
+    counts = {r["token"]: r["occurrences"] for r in model.collect()}
+    head = {r["token"] for r in polarity.frequent_tokens(model, limit).collect()}
+    assert len(head) <= limit
+    assert not head or min(counts[t] for t in head) > max((counts[t] for t in counts.keys() - head), default=0)
+    assert limit < 10**6 or head == counts.keys()

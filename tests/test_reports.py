@@ -129,3 +129,8 @@ def test_one_class_with_a_third_of_all_rows_is_combined_before_the_shuffle(spark
     plan = plan_of(reports.tag_frequency(df))
     assert "partial_count" in plan
     assert reports.tag_frequency(df).first()["tag_count"] == 1000
+
+
+def test_counted_tables_give_the_same_report(scored):
+    counted = scored.groupBy("ip_location", "sentiment_category").agg(F.count("*").alias("n"))
+    assert values(reports.class_by_location(counted, times="n")) == values(reports.class_by_location(scored))
