@@ -33,6 +33,7 @@ from moodtide.sources import views
 
 TOP_LOCATIONS = 5
 TOP_TAGS = 20
+TOP_NOTES = 20
 
 
 @register(f"""
@@ -90,6 +91,12 @@ def note_comment_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
     return views.note_comment_stats_sql(spark, "catalogue_notes", "catalogue_comments")
 
 
+@register(f"SELECT * FROM ({LEFT_JOIN_SQL}) ORDER BY actual_comment_count DESC, note_id LIMIT {TOP_NOTES}")
+def top_notes(spark: SparkSession, folder: str) -> DataFrame:
+    stats = reports.note_comment_stats(*_order_tables(spark, folder))
+    return reports.top_rows(stats, TOP_NOTES, "actual_comment_count", "note_id")
+
+
 @register(f"""WITH {NOTES_SQL}, {COMMENTS_SQL}
 SELECT count(*) AS orphan_comments, count(DISTINCT note_id) AS missing_notes
 FROM valid_comments c WHERE NOT EXISTS (SELECT 1 FROM valid_notes n WHERE n.note_id = c.note_id)""")

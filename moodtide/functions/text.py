@@ -32,10 +32,12 @@ def tokens(text: Column) -> Column:
     """Lower-case letter/digit runs of the cleaned text, each Han character on its own.
 
     The white-space steps of ``clean_text`` are left out: splitting on everything that is not a
-    letter or digit makes them redundant, and they cost a pass over the text. The array may hold
-    empty pieces at its ends; no model contains the empty token.
+    letter or digit makes them redundant, and they cost a pass over the text. ASCII texts skip the
+    Han pass. The array may hold empty pieces at its ends; no model contains the empty token.
     """
-    spaced = F.regexp_replace(strip_noise(text), HAN_PATTERN, " $1 ")
+    plain = strip_noise(text)
+    beyond_ascii = F.octet_length(text) > F.length(text)
+    spaced = F.when(beyond_ascii, F.regexp_replace(plain, HAN_PATTERN, " $1 ")).otherwise(plain)
     return F.split(F.lower(spaced), TOKEN_GAP_PATTERN)
 
 

@@ -41,6 +41,6 @@ def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
     those of the next grouping, which then needs no exchange of its own.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= 2 * cores:
+    if scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores, *keys)

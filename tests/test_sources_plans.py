@@ -181,7 +181,7 @@ def test_posts_flow(spark, model, tmp_path):
 def test_spread_only_small_scans(spark, folder):
     scan = spark.read.parquet(f"{folder}/documents.parquet")
     assert spread_scan(scan, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 2 * spark.sparkContext.defaultParallelism)
+    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
     assert spread_scan(many) is many
 
 
