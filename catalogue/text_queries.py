@@ -188,7 +188,7 @@ def scored_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(f"""WITH {POST_SCORES_SQL}
 SELECT sentiment_category, count(*) AS "count", {r6('avg(sentiment_score)')} AS avg_score
-FROM opinions GROUP BY 1""")
+FROM opinions WHERE text IS NOT NULL AND text <> '' GROUP BY 1""")
 def opinion_class_distribution(spark: SparkSession, folder: str) -> DataFrame:
     kept = filters.nonempty_posts(posts(spark, folder))
     scored = polarity.score_records(kept, polarity_model(spark, folder), key=["id"])
@@ -204,15 +204,36 @@ def platform_class_counts(spark: SparkSession, folder: str) -> DataFrame:
     return reports.platform_class_counts(scored)
 
 
-@register(f"""WITH {MODEL_SQL}, {TEXT_UNION_SQL}, {scores_sql('texts', 'type, id')}
+UNION_SCORES_SQL = f"{MODEL_SQL}, {TEXT_UNION_SQL}, {scores_sql('texts', 'type, id')}"
+
+
+def _scored_union(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
+    texts, model = _text_union(spark, folder), polarity_model(spark, folder)
+    return polarity.score_records(texts, model, key=["type", "id"], keep=keep)
+
+
+@register(f"""WITH {UNION_SCORES_SQL}
 SELECT type, sentiment_category, count(*) AS "count", {r6('avg(sentiment_score)')} AS avg_score
 FROM opinions GROUP BY ALL""")
 def union_class_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    scored = polarity.score_records(_text_union(spark, folder), polarity_model(spark, folder), key=["type", "id"])
-    counted = scored.groupBy("type", "sentiment_category")
+    counted = _scored_union(spark, folder).groupBy("type", "sentiment_category")
     return rounded(counted.agg(F.count("*").alias("count"), F.avg("sentiment_score").alias("avg_score")), "avg_score")
 
 
+@register(f"""WITH {UNION_SCORES_SQL}
+SELECT strftime(make_timestamp(create_time * 1000000), '%Y-%m-%d') AS "date", sentiment_category, count(*) AS "count"
+FROM opinions GROUP BY ALL""")
+def union_class_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.class_by_day(_scored_union(spark, folder, "create_time"))
+
+
+@register(f"""WITH {UNION_SCORES_SQL}
+SELECT ip_location, sentiment_category, count(*) AS "count"
+FROM opinions WHERE ip_location IS NOT NULL AND trim(ip_location) <> '' GROUP BY ALL""")
+def union_class_by_location(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.class_by_location(_scored_union(spark, folder, "ip_location"))
+
+
 @register(f"""
 SELECT doc_id, {r6('sentiment_score')} AS sentiment_score, {CLASS_SQL.format('sentiment_score')} AS sentiment_category
 FROM (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from moodtide.functions.numbers import repair_count
 from moodtide.functions.text import not_blank
 
-# The choice that switches an optional filter off.
+# Fixed value: the choice ("all") that switches an optional filter off.
 EVERYTHING = "全部"
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from moodtide.functions.dates import DAY_FORMAT, calendar_parts, parse_day, shift_day
 from moodtide.functions.numbers import clamp_score
 from moodtide.operators.series import MOVING_DAYS, by_day, split_mark
+from moodtide.storage import store
 
 MODEL_FEATURES = [
     "sentiment_lag_1",
@@ -29,7 +30,7 @@ TREES = 50
 DEPTH = 10
 SEED = 42
 
-# Steps whose plans are stacked before the state is checkpointed.
+# Steps whose plans are stacked before the state is written and read back.
 STACKED_STEPS = 5
 
 
@@ -114,7 +115,7 @@ def forecast(rows: DataFrame, model: PipelineModel, horizon: int = 30) -> DataFr
     for step in range(1, horizon + 1):
         state = model.transform(state.withColumns(inputs)).select(outcome)
         if step % STACKED_STEPS == 0 and step < horizon:
-            state = state.checkpoint()
+            state = store(state, "forecast_state")
     return state.select("series", F.explode("path").alias("point")).select(
         "series",
         F.date_format("point.day", DAY_FORMAT).alias("date"),

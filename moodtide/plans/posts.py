@@ -18,10 +18,10 @@ def analyse_posts(posts: DataFrame, model: DataFrame, folder: str) -> dict[str,
     taken while the table is written.
     """
     require_columns(posts, ["id", "text", "platform"])
-    kept, counted = counting(nonempty_posts(posts), "posts_kept")
     table = f"{folder}/sentiment_results"
-    write_table(score_text(kept, model, key=["id"]), table)
-    scored = posts.sparkSession.read.parquet(table)
+    watched, counted = counting(score_text(nonempty_posts(posts), model, key=["id"]), "posts_scored")
+    write_table(watched, table)
+    scored = posts.sparkSession.read.schema(watched.schema).parquet(table)
 
     write_report(class_distribution(scored), f"{folder}/sentiment_distribution")
     write_report(platform_class_counts(scored), f"{folder}/platform_sentiment")

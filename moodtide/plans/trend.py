@@ -7,14 +7,15 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 
-from moodtide.operators.forecast import fit_forest, forecast, model_rows, predict_test_days
+from moodtide.operators.forecast import fit_forest, forecast, model_rows, predict_test_days, with_history
 from moodtide.operators.series import daily_series, forecast_quality
+from moodtide.schemas import REPORTS
 from moodtide.storage import spread_scan, store
 
 
 @dataclass(frozen=True)
 class Trend:
-    model: PipelineModel
+    model: PipelineModel | None
     evaluation: DataFrame
     future: DataFrame
 
@@ -37,9 +38,15 @@ def forecast_trend(
     """Fit one forest over all series, measure it on the later days, forecast every series.
 
     ``scored`` has sentiment_score and create_time (epoch seconds); without a series key the whole
-    table is one series.
+    table is one series. Without a training day that has both lags the result tables are empty.
     """
     rows = stored_model_rows(scored, series, test_size, zone)
+    if with_history(rows).filter("is_train").isEmpty():
+        nothing = [
+            scored.sparkSession.createDataFrame([], REPORTS[name])
+            for name in ("sentiment_trend_evaluation", "sentiment_trend_predictions")
+        ]
+        return Trend(None, *nothing)
     model = fit_forest(rows)
     evaluation = forecast_quality(predict_test_days(rows, model), "label", "prediction")
     return Trend(model, evaluation, forecast(rows, model, horizon))

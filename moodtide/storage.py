@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="moodtide-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every node sees, as the session names it. A temporary one only in local mode."""
     folder = spark.conf.get(SHARED_FOLDER, None)
@@ -17,9 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_FOLDER} to a folder that all nodes can reach")
-    folder = tempfile.mkdtemp(prefix="moodtide-")
-    spark.conf.set(SHARED_FOLDER, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,11 +14,11 @@ from tests.conftest import plan_of, values
 
 NOON = datetime.datetime(2025, 6, 1, 12, 0, 0)
 POST_ROWS = [
-    ("p1", NOON, "u1", 'quote " and, comma', "微博"),
-    ("p2", NOON, None, "two\nlines", "知乎"),
-    ("p3", None, "u3", "", "知乎"),
+    ("p1", NOON, "u1", 'quote " and, comma', "wb"),
+    ("p2", NOON, None, "two\nlines", "zh"),
+    ("p3", None, "u3", "", "zh"),
     ("p4", NOON, "", None, None),
-    ("p5", NOON, "u5", "back\\slash", "抖音"),
+    ("p5", NOON, "u5", "back\\slash", "dy"),
 ]
 
 
@@ -164,6 +164,20 @@ def test_notes_flow_without_rows(spark, model, tmp_path):
     assert analyse_notes(*empty, model, str(tmp_path)) is False
 
 
+def test_posts_flow_without_rows(spark, model, tmp_path):
+    assert analyse_posts(spark.createDataFrame([], POSTS), model, str(tmp_path)) == {"posts": 0}
+    assert spark.read.parquet(f"{tmp_path}/sentiment_results").count() == 0
+
+
+def test_notes_flow_with_too_few_days_to_train(spark, model, tmp_path):
+    notes = spark.createDataFrame(NOTE_ROWS[:1], NOTES)
+    comments = spark.createDataFrame(COMMENT_ROWS[:2], COMMENTS)
+    assert analyse_notes(notes, comments, model, str(tmp_path))
+    read, _ = files.read_reports(spark, str(tmp_path))
+    assert read["combined_sentiment_distribution"].agg(F.sum("count")).first()[0] == 3
+    assert read["sentiment_trend_predictions"].isEmpty() and read["sentiment_trend_evaluation"].isEmpty()
+
+
 def test_posts_flow(spark, model, tmp_path):
     rows = [(f"p{i}", NOON, "u", ["good", "bad", "zzz", "", None][i % 5], f"s{i % 2}") for i in range(50)]
     assert analyse_posts(spark.createDataFrame(rows, POSTS), model, str(tmp_path)) == {"posts": 30}
@@ -187,3 +201,18 @@ def test_spread_only_small_scans(spark, folder):
 
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get(SHARED_FOLDER)
+
+
+class OtherSession:
+    """Just enough of a session: a configuration without the setting, and a master."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+
+
+def test_shared_folder_without_the_setting():
+    local = shared_folder(OtherSession("local[2]"))
+    assert local == shared_folder(OtherSession("local[2]"))
+    with pytest.raises(ValueError, match=SHARED_FOLDER):
+        shared_folder(OtherSession("spark://host:7077"))
