@@ -30,6 +30,7 @@ from moodtide.functions.numbers import clamp_score as clamped
 from moodtide.operators import filters, reports
 from moodtide.schemas import POST_SAMPLE_ROWS, TOP_TAG_ROWS
 from moodtide.sources import views
+from moodtide.storage import store
 
 TOP_LOCATIONS = 5
 TOP_TAGS = 20
@@ -124,6 +125,11 @@ def _by_location(spark: SparkSession, folder: str) -> DataFrame:
     return reports.class_by_location(located_counts(spark, folder), times="records")
 
 
+def _stored_by_location(spark: SparkSession, folder: str) -> DataFrame:
+    """The small count table, written once because the top list reads it twice."""
+    return store(_by_location(spark, folder), "by_location")
+
+
 @register(f'WITH {LOCATED_SQL} SELECT ip_location, sentiment_category, "count" FROM by_location')
 def class_by_location(spark: SparkSession, folder: str) -> DataFrame:
     return _by_location(spark, folder)
@@ -165,15 +171,14 @@ def location_totals(spark: SparkSession, folder: str) -> DataFrame:
 SELECT ip_location, sentiment_category, "count" FROM by_location
 WHERE ip_location IN (SELECT ip_location FROM top_places)""")
 def top_location_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.top_location_classes(_by_location(spark, folder), TOP_LOCATIONS)
+    return reports.top_location_classes(_stored_by_location(spark, folder), TOP_LOCATIONS)
 
 
 @register(f"""WITH {LOCATED_SQL}
 SELECT ip_location, sentiment_category, "count" FROM by_location WHERE sentiment_category = 'negative'
 ORDER BY "count" DESC, ip_location LIMIT {TOP_LOCATIONS}""")
 def top_negative_locations(spark: SparkSession, folder: str) -> DataFrame:
-    by_location = _by_location(spark, folder)
-    return reports.top_location_classes(by_location, TOP_LOCATIONS, "negative")
+    return reports.top_location_classes(_stored_by_location(spark, folder), TOP_LOCATIONS, "negative")
 
 
 PIVOT_SQL = ", ".join(
@@ -204,12 +209,7 @@ def filtered_records(spark: SparkSession, folder: str) -> DataFrame:
 SELECT DISTINCT 'sentiment_category' AS name, sentiment_category AS value FROM scored
 UNION ALL SELECT DISTINCT 'platform', platform FROM scored""")
 def distinct_filter_values(spark: SparkSession, folder: str) -> DataFrame:
-    scored = scored_events(spark, folder)
-    parts = [
-        reports.distinct_values(scored, name).select(F.lit(name).alias("name"), F.col(name).alias("value"))
-        for name in ("sentiment_category", "platform")
-    ]
-    return parts[0].unionByName(parts[1])
+    return reports.distinct_values(scored_events(spark, folder), "sentiment_category", "platform")
 
 
 @register(f"""WITH {NOTES_SQL}, {COMMENTS_SQL}

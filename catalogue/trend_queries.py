@@ -8,6 +8,7 @@ from catalogue.bindings import SCORED_SQL, r6, rounded, scored_events
 from catalogue.registry import register
 from moodtide.operators import forecast, series
 from moodtide.plans.trend import forecast_trend, stored_model_rows
+from moodtide.storage import store
 
 HORIZON = 30
 
@@ -51,6 +52,11 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return series.trend_features(_daily(spark, folder))
 
 
+def _stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per series and day, written once for queries that read it twice."""
+    return store(_features(spark, folder), "features")
+
+
 def daily_list_sql(key: str) -> str:
     return f"""WITH {daily_sql(key)}
 SELECT series, "date", {r6('avg_sentiment')} AS avg_sentiment, post_count, {r6('sentiment_std')} AS sentiment_std
@@ -81,7 +87,7 @@ def chronological_split(spark: SparkSession, folder: str) -> DataFrame:
 SELECT {FEATURE_LIST_SQL} FROM (SELECT * EXCLUDE (is_train) FROM marked
   EXCEPT SELECT * EXCLUDE (is_train) FROM marked WHERE is_train)""")
 def split_by_subtraction(spark: SparkSession, folder: str) -> DataFrame:
-    features = rounded(_features(spark, folder), *FEATURE_DOUBLES)
+    features = rounded(_stored_features(spark, folder), *FEATURE_DOUBLES)
     return series.subtract_rows(features, series.train_part(series.split_mark(features)))
 
 
@@ -101,7 +107,7 @@ def scaled_sql(name: str) -> str:
 @register(f"""WITH {FEATURES_SQL}
 SELECT series, "date", is_train, {', '.join(map(scaled_sql, series.FEATURES))} FROM marked""")
 def standardised_features(spark: SparkSession, folder: str) -> DataFrame:
-    marked = series.split_mark(_features(spark, folder))
+    marked = series.split_mark(_stored_features(spark, folder))
     scaled = series.standardised(marked, marked.filter("is_train"), series.FEATURES)
     return rounded(scaled.select("series", "date", "is_train", *series.FEATURES), *series.FEATURES)
 

@@ -96,7 +96,11 @@ def _sums_with_whole_model(pieces: DataFrame, group: Sequence[str], model: DataF
     return (
         pieces.join(weights, "_token", "left")
         .groupBy(*group)
-        .agg(F.sum("_weight").alias("_total"), F.count("_weight").alias("_known"))
+        .agg(
+            F.sum("_weight").alias("_total"),
+            F.count("_weight").alias("_known"),
+            F.count_if("_first").alias("_copies"),
+        )
     )
 
 
@@ -134,7 +138,12 @@ def _sums_with_split_model(
     first = (
         pieces.join(head_weights, "_token", "left")
         .groupBy(*group, rest.alias("_rest"))
-        .agg(F.sum("_weight").alias("_total"), F.count("_weight").alias("_known"), F.count("*").alias("_times"))
+        .agg(
+            F.sum("_weight").alias("_total"),
+            F.count("_weight").alias("_known"),
+            F.count("*").alias("_times"),
+            F.count_if("_first").alias("_copies"),
+        )
         .withColumn("_salt", F.when(F.col("_rest").isNull(), spread).otherwise(F.pmod(spread, F.lit(salts))))
     )
     tail = model.select(
@@ -149,34 +158,54 @@ def _sums_with_split_model(
         .agg(
             F.sum(F.when(found, F.col("_rest_weight") * F.col("_times")).otherwise(F.col("_total"))).alias("_total"),
             F.sum(F.when(found, F.col("_times")).otherwise(F.col("_known"))).alias("_known"),
+            F.sum("_copies").alias("_copies"),
         )
     )
 
 
-def score_records(
+def _scored_groups(
     df: DataFrame,
     model: DataFrame,
-    key: Sequence[str],
-    keep: Sequence[str] = (),
-    text_col: str = "text",
+    group: Sequence[str],
+    text_col: str,
     broadcast_limit: int = BROADCAST_BYTES,
     head_rows: int = HEAD_ROWS,
     salts: int = TAIL_SALTS,
 ) -> DataFrame:
-    """Score and class per record, without the text: key, kept columns, score, class.
+    """One row per group of rows with the same text: score, and how many rows it stands for.
 
-    One pass: the tokens of a text are joined with the broadcast model and summed inside the task
-    that read the text, so a single small row per record is shuffled. ``key`` must identify a row;
-    use ``score_text`` where it does not or where the text itself is wanted.
+    Copies add to the sum and to the number of tokens alike, so the mean weight is that of one text.
     """
-    group = [*key, *keep]
-    require_columns(df, [*group, text_col])
-    pieces = df.select(*group, F.explode_outer(tokens(F.col(text_col))).alias("_token"))
+    position = F.coalesce("_position", F.lit(0)) == 0
+    pieces = df.select(
+        *group, F.posexplode_outer(tokens(F.col(text_col))).alias("_position", "_token")
+    ).select(*group, "_token", position.alias("_first"))
     if fits_broadcast(model, broadcast_limit):
         sums = _sums_with_whole_model(pieces, group, model)
     else:
         sums = _sums_with_split_model(pieces, group, model, head_rows, salts)
-    return classify(sums.select(*group, score_of(F.col("_total"), F.col("_known")).alias("sentiment_score")))
+    score = score_of(F.col("_total"), F.col("_known")).alias("sentiment_score")
+    return classify(sums.select(*group, "_copies", score))
+
+
+def score_records(
+    df: DataFrame, model: DataFrame, key: Sequence[str], keep: Sequence[str] = (), text_col: str = "text", **limits: int
+) -> DataFrame:
+    """Score and class per record, without the text: key, kept columns, score, class.
+
+    ``model`` should be a stored table: it is measured first. The tokens of a text are joined with
+    the broadcast model and summed inside the task that read the text, so a single small row per
+    record is shuffled. Repeated keys are kept apart by a hash of the text, and rows that are equal
+    in everything are counted per task and unfolded again: neither can lose rows or fill one task.
+    """
+    columns = [*key, *keep]
+    require_columns(df, [*columns, text_col])
+    marked = df.select(*columns, text_col, F.xxhash64(text_col).alias("_hash"), F.spark_partition_id().alias("_task"))
+    scored = _scored_groups(marked, model, [*columns, "_hash", "_task"], text_col, **limits)
+    unfolded = scored.select(
+        *columns, "sentiment_score", "sentiment_category", F.explode(F.sequence(F.lit(1), "_copies"))
+    )
+    return unfolded.select(*columns, "sentiment_score", "sentiment_category")
 
 
 def score_text(
@@ -187,13 +216,14 @@ def score_text(
     Scores are joined back on the key and a hash of the text, NULL-safe, so repeated keys neither
     lose nor multiply rows. The text is shuffled once unless its table is bucketed on the key.
     """
+    require_columns(df, [*key, text_col])
     hashed = df.withColumn("_hash", F.xxhash64(text_col))
-    scores = score_records(hashed, model, key=[*key, "_hash"], text_col=text_col, **limits)
-    renamed = scores.withColumnsRenamed({name: f"_score_{name}" for name in [*key, "_hash"]})
-    on = None
-    for name in [*key, "_hash"]:
-        same = hashed[name].eqNullSafe(renamed[f"_score_{name}"])
-        on = same if on is None else on & same
+    group = [*key, "_hash"]
+    scores = _scored_groups(hashed, model, group, text_col, **limits)
+    renamed = scores.withColumnsRenamed({name: f"_score_{name}" for name in group})
+    on = F.lit(True)
+    for name in group:
+        on = on & hashed[name].eqNullSafe(renamed[f"_score_{name}"])
     columns = [hashed[name] for name in df.columns]
     return hashed.join(renamed, on, "left").select(*columns, "sentiment_score", "sentiment_category")
 

@@ -182,8 +182,10 @@ def counting(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-def distinct_values(df: DataFrame, name: str) -> DataFrame:
-    return df.select(name).distinct()
+def distinct_values(df: DataFrame, *names: str) -> DataFrame:
+    """Distinct values of several columns as (name, value) rows, from one scan."""
+    pairs = [F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value")) for name in names]
+    return df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").distinct()
 
 
 def ordered(df: DataFrame, **directions: str) -> DataFrame:

@@ -44,7 +44,7 @@ def analyse_notes(
     """Write all reports of the flow; False when there is nothing to analyse.
 
     The cleaned tables are written once and re-read, so a database source is scanned a single time
-    and a lost executor costs a file read. (type, id) must be unique, as database keys are.
+    and a lost executor costs a file read.
     """
     spark = notes.sparkSession
     clean_notes, clean_comments = clean_tables(notes, comments)

@@ -108,6 +108,20 @@ def test_score_text_keeps_every_row(spark, model):
     assert by_text["good"] == brute_score("good", brute_model(TEXTS)) and by_text[None] is None
 
 
+@pytest.mark.parametrize("limit", [polarity.BROADCAST_BYTES, 0])
+def test_score_records_keeps_every_row(spark, model, limit):
+    """A third of all rows are equal in everything; others share a key, or have none, or no text."""
+    rows = [("hot", "good rare", 1)] * 200 + [("hot", "bad", 1), ("hot", "good", 2), (None, "good", 1), (None, None, 1)]
+    rows += [(f"k{i % 50}", f"good bad once{i}", i % 3) for i in range(380)] + [("e", "", 0), ("e", "", 0), ("n", None, 0)]
+    df = spark.createDataFrame(rows, "id string, text string, kept int").repartition(7)
+    scored = polarity.score_records(df, model, key=["id"], keep=["kept"], broadcast_limit=limit, head_rows=3)
+    assert values(scored, "id", "kept") == sorted(((r[0], r[2]) for r in rows), key=repr)
+    weights = brute_model(TEXTS)
+    expected = sorted((r[0], r[2], round(brute_score(r[1], weights) or -1, 9)) for r in rows if r[0])
+    got = scored.filter("id IS NOT NULL").fillna(-1.0, ["sentiment_score"]).collect()
+    assert sorted((r["id"], r["kept"], round(r["sentiment_score"], 9)) for r in got) == expected
+
+
 def test_kept_columns_travel_with_the_key(texts, model):
     scored = polarity.score_records(texts, model, key=["id"], keep=["label"])
     assert values(scored, "id", "label") == values(texts, "id", "label")

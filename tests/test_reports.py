@@ -118,7 +118,9 @@ def test_row_counts_and_observation(spark, scored):
 
 
 def test_small_helpers(scored):
-    assert values(reports.distinct_values(scored, "platform")) == [("p",), ("q",)]
+    assert values(reports.distinct_values(scored, "platform", "id")) == [
+        *(("id", row[0]) for row in ROWS), ("platform", "p"), ("platform", "q"),
+    ]
     ordered = reports.ordered(scored.select("platform", "id"), platform="desc", id="asc")
     assert [r["id"] for r in ordered.collect()] == ["c", "d", "e", "a", "b", "f"]
     assert reports.renamed(scored, {"id": "key"}).columns[0] == "key"
