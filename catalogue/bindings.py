@@ -115,8 +115,16 @@ TEXT_UNION_SQL = f"""{NOTES_SQL}, {COMMENTS_SQL}, texts AS (
 # finite decimal form, so means never end in an exact half at the digit they are rounded to.
 
 
+# The tables hold wall-clock times without a zone; they are read as UTC whatever the session says.
+ZONE = "UTC"
+
+
+def event_time(unit: str) -> Column:
+    return F.timestamp_diff(unit, F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+
+
 def event_millis() -> Column:
-    return F.unix_millis(F.col("ts").cast("timestamp"))
+    return event_time("MILLISECOND")
 
 
 def scored_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +134,7 @@ def scored_events(spark: SparkSession, folder: str) -> DataFrame:
             "event_id",
             "user_id",
             F.col("event_type").alias("platform"),
-            F.unix_seconds(F.col("ts").cast("timestamp")).alias("create_time"),
+            event_time("SECOND").alias("create_time"),
             clamp_score(score).alias("sentiment_score"),
         )
     )

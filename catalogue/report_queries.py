@@ -12,6 +12,7 @@ from catalogue.bindings import (
     ORDER_NOTES_SQL,
     SCORED_SQL,
     TAGS_SQL,
+    ZONE,
     comments,
     event_millis,
     located_counts,
@@ -112,13 +113,13 @@ SELECT strftime(make_timestamp(epoch_us(ts)), '%Y-%m-%d') AS comment_date, count
 FROM events GROUP BY 1
 """)
 def comments_per_day(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.comments_per_day(table(spark, folder, "events").select(event_millis().alias("create_time")))
+    return reports.comments_per_day(table(spark, folder, "events").select(event_millis().alias("create_time")), ZONE)
 
 
 @register(f"""WITH {SCORED_SQL}
 SELECT "date", sentiment_category, count(*) AS "count" FROM scored GROUP BY ALL""")
 def class_by_day(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.class_by_day(scored_events(spark, folder))
+    return reports.class_by_day(scored_events(spark, folder), ZONE)
 
 
 def _by_location(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +195,7 @@ def platform_class_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(f'WITH {SCORED_SQL} SELECT CAST("date" AS DATE) AS "date", {PIVOT_SQL} FROM scored GROUP BY 1')
 def day_class_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.day_class_pivot(reports.class_by_day(scored_events(spark, folder)))
+    return reports.day_class_pivot(reports.class_by_day(scored_events(spark, folder), ZONE))
 
 
 @register(f"""WITH {SCORED_SQL}

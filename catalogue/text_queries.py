@@ -10,6 +10,7 @@ from catalogue.bindings import (
     NOTES_SQL,
     ORDER_NOTES_SQL,
     TEXT_UNION_SQL,
+    ZONE,
     comments,
     event_millis,
     labelled_texts,
@@ -118,7 +119,7 @@ def epoch_to_date(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "events")
         .select("event_id", epoch_seconds(event_millis()).alias("seconds"))
-        .withColumn("day", day_string(F.col("seconds")))
+        .withColumn("day", day_string(F.col("seconds"), ZONE))
     )
 
 
@@ -224,7 +225,7 @@ def union_class_distribution(spark: SparkSession, folder: str) -> DataFrame:
 SELECT strftime(make_timestamp(create_time * 1000000), '%Y-%m-%d') AS "date", sentiment_category, count(*) AS "count"
 FROM opinions GROUP BY ALL""")
 def union_class_by_day(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.class_by_day(_scored_union(spark, folder, "create_time"))
+    return reports.class_by_day(_scored_union(spark, folder, "create_time"), ZONE)
 
 
 @register(f"""WITH {UNION_SCORES_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalogue.bindings import SCORED_SQL, r6, rounded, scored_events
+from catalogue.bindings import SCORED_SQL, ZONE, r6, rounded, scored_events
 from catalogue.registry import register
 from moodtide.operators import forecast, series
 from moodtide.plans.trend import forecast_trend, stored_model_rows
@@ -45,7 +45,7 @@ FEATURE_LIST_SQL = (
 
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
-    return series.daily_series(scored_events(spark, folder), "platform")
+    return series.daily_series(scored_events(spark, folder), "platform", ZONE)
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +70,7 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(daily_list_sql("'all'"))
 def daily_series_whole_table(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(series.daily_series(scored_events(spark, folder)), "avg_sentiment", "sentiment_std")
+    return rounded(series.daily_series(scored_events(spark, folder), zone=ZONE), "avg_sentiment", "sentiment_std")
 
 
 @register(f"WITH {FEATURES_SQL} SELECT {FEATURE_LIST_SQL} FROM features")
@@ -137,13 +137,13 @@ def future_calendar(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def forest_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Thirty days ahead for every series, from one forest over all of them."""
-    return forecast_trend(scored_events(spark, folder), "platform", HORIZON).future
+    return forecast_trend(scored_events(spark, folder), "platform", HORIZON, zone=ZONE).future
 
 
 @register()
 def forest_eval(spark: SparkSession, folder: str) -> DataFrame:
     """Errors of the forest on the later days, per series."""
-    rows = stored_model_rows(scored_events(spark, folder), "platform")
+    rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
     predicted = forecast.predict_test_days(rows, forecast.fit_forest(rows))
     return series.forecast_quality(predicted, "label", "prediction", "series").select(
         "series", F.col("rmse"), F.col("mae"), F.col("r2"), F.col("rows")

@@ -8,11 +8,16 @@ DAY_FORMAT = "yyyy-MM-dd"
 
 
 def day_string(seconds: Column, zone: str | None = None) -> Column:
-    """Epoch seconds to a ``yyyy-MM-dd`` string in ``zone`` (default: the session time zone)."""
-    moment = F.timestamp_seconds(seconds)
-    if zone is not None:
-        moment = F.convert_timezone(None, F.lit(zone), moment)
-    return F.date_format(moment, DAY_FORMAT)
+    """Epoch seconds to a ``yyyy-MM-dd`` string, in the session time zone or in a named one.
+
+    With a name the session does not matter: the wall clock is computed without it, so its
+    daylight-saving changes cannot move a record to another day.
+    """
+    if zone is None:
+        return F.date_format(F.timestamp_seconds(seconds), DAY_FORMAT)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("SECOND", seconds, epoch))
+    return F.date_format(local.cast("date"), DAY_FORMAT)
 
 
 def parse_day(day: Column) -> Column:

@@ -13,6 +13,21 @@ KINDS = {
 }
 
 
+DATED = [
+    "class_by_day", "comments_per_day", "epoch_to_date", "daily_series", "parquet_roundtrip", "csv_roundtrip",
+    "future_calendar", "union_class_by_day",
+]
+
+
+@pytest.mark.parametrize("name", DATED)
+def test_session_zone_does_not_matter(spark, duck, folder, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_equals_sql(spark, duck, folder, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, duck, folder, name):
     result = QUERIES[name](spark, folder)

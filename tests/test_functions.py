@@ -101,7 +101,11 @@ def test_day_in_a_named_zone_ignores_the_session(spark, session_zone):
     spark.conf.set("spark.sql.session.timeZone", session_zone)
     try:
         shanghai = lambda c: dates.day_string(c, "Asia/Shanghai")
-        assert one(spark, [16 * 3600 - 1, 16 * 3600], "long", shanghai) == ["1970-01-01", "1970-01-02"]
+        assert one(spark, [16 * 3600 - 1, 16 * 3600, None], "long", shanghai) == ["1970-01-01", "1970-01-02", None]
+        new_york = lambda c: dates.day_string(c, "America/New_York")
+        clocks_back = [1730606400 - 1, 1730606400, 1730696400 - 1, 1730696400]  # a day of 25 hours
+        days = ["2024-11-02", "2024-11-03", "2024-11-03", "2024-11-04"]
+        assert one(spark, clocks_back, "long", new_york) == days
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
