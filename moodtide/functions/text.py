@@ -14,7 +14,8 @@ URL_PATTERN = rf"https?://[^{SPACE}]+"
 MENTION_PATTERN = rf"@[{WORD}]+"
 SPACE_RUN_PATTERN = rf"[{SPACE}]+"
 BLANK_PATTERN = rf"^[{SPACE}]*$"
-HAN_PATTERN = r"(\p{IsHan})"
+# The script starts at U+2E80; testing the range first spares Latin letters the script lookup.
+HAN_PATTERN = r"([\x{2e80}-\x{10ffff}&&\p{IsHan}])"
 TOKEN_GAP_PATTERN = r"[^\p{L}\p{N}]+"
 
 

@@ -114,3 +114,11 @@ def test_calendar(spark):
     df = spark.createDataFrame([("2025-06-01",), ("2025-06-02",)], "d string").withColumn("d", dates.parse_day(F.col("d")))
     rows = df.select("d", *[c.alias(n) for n, c in dates.calendar_parts(F.col("d")).items()]).orderBy("d").collect()
     assert [tuple(r)[1:] for r in rows] == [(1, 6, 2025), (2, 6, 2025)]
+
+
+def test_han_pattern_covers_the_whole_script(spark):
+    points = [i for i in range(1, 0x110000) if not 0xD800 <= i <= 0xDFFF]
+    blocks = ["".join(map(chr, points[i : i + 5000])) for i in range(0, len(points), 5000)]
+    marked = one(spark, blocks, "string", lambda c: F.regexp_replace(c, text.HAN_PATTERN, " $1 "))
+    by_script = one(spark, blocks, "string", lambda c: F.regexp_replace(c, r"(\p{IsHan})", " $1 "))
+    assert marked == by_script and marked != blocks
