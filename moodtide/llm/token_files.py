@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,18 +43,33 @@ SELECT_EVERY = 256
 # A shard ends with the document that brings it to so many ids.
 SHARD_IDS = 2_000_000
 SLICE_BYTES = 4_000_000
-CACHED_PIECES = 300_000
+# Distinct pieces that a task remembers.
+KNOWN_PIECES = 500_000
 
-# Two white-space characters of which one is a space: cutting there could part a token.
+# Two white-space characters next to each other: cutting there could part a token.
 SPACES = r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-UNSAFE_SPACE = rf" [{SPACES}]|[{SPACES}] "
+WIDE_SPACE = rf"[{SPACES}][{SPACES}]"
+
+
+# The printable bytes that byte-level vocabularies write as themselves. The others, in
+# order, are written as the characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+OTHERS = [b for b in range(256) if b not in PRINTABLE]
+BYTE_SIGNS = {byte: chr(256 + i) for i, byte in enumerate(OTHERS)}
+SPACE_SIGN = BYTE_SIGNS[ord(" ")]
+
+
+def byte_signs(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
 
 
 class Encoder:
-    """Token ids of whole texts by a ``tokenizers`` tokenizer, each distinct piece encoded once.
+    """Token ids of whole texts by a byte-level ``tokenizers`` tokenizer, each distinct piece encoded once.
 
-    A byte-level tokenizer never joins what stands before a single space with the space and what
-    follows it, so texts are cut there. Texts with wider white space are encoded in one piece.
+    Such a tokenizer never joins what stands before a single space or line break with what follows,
+    nor letters with the full stop or comma after them, so texts are cut there; a piece keeps the
+    white space before it. Texts with wider white space are encoded whole. Pieces go to the tokenizer
+    piece by piece; runs of letters, the most of them, go straight to its model.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -61,45 +77,99 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.known: dict[str, np.ndarray] = {}
-
-    def pieces(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = [t for t in texts if t not in self.known]
-        for text, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[text] = np.array(found.ids, dtype=np.uint32)
-        return [self.known[t] for t in texts]
+        self.model = self.tokenizer.model
+        self.newline = self.ids_of("\n")[0]
+        self.marks = self.ids_of("."), self.ids_of(",")
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: the place of each in one growing array of ids."""
+        self.known: dict[str, int] = {}
+        self.ids, self.at, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def ids_of(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def learn(self, pieces: list[str]) -> None:
+        array = pa.array(pieces, pa.string())
+        rest = pc.utf8_slice_codeunits(array, 1)
+        lettered = pc.match_substring_regex(rest, r"^\pL+$")
+        parts, sizes, names = [self.ids], [], []
+        # One letter run is one call of the model; the line break before it is a token of its own.
+        for before, head in ((" ", SPACE_SIGN), ("\n", "")):
+            lines = rest.filter(pc.and_(lettered, pc.starts_with(array, before))).to_pylist()
+            runs = [[token.id for token in self.model.tokenize(head + byte_signs(word))] for word in lines]
+            if not head:
+                runs = [[self.newline, *run] for run in runs]
+            parts.append(np.fromiter(chain.from_iterable(runs), np.uint32))
+            sizes.append(np.fromiter(map(len, runs), np.int64, len(runs)))
+            names += [before + word for word in lines]
+        odd = pc.invert(lettered)
+        for piece in array.filter(odd).to_pylist():
+            parts.append(self.ids_of(piece))
+            sizes.append(np.array([len(parts[-1])]))
+            names.append(piece)
+        sizes = np.concatenate(sizes)
+        at = len(self.ids) + np.cumsum(sizes) - sizes
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(sizes)), strict=True))
+        self.ids, self.at, self.sizes = np.concatenate(parts), np.append(self.at, at), np.append(self.sizes, sizes)
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the ids of each piece are."""
+        pieces = pieces.dictionary_encode()
+        names = pieces.dictionary.to_pylist()
+        new = [piece for piece in names if piece not in self.known]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[pieces.indices.to_numpy()]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and the number of ids per text."""
+        if len(self.known) > KNOWN_PIECES:
+            self.forget()
         texts = pc.fill_null(texts, "")
-        whole = pc.match_substring_regex(texts, UNSAFE_SPACE)
-        parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        whole = pc.match_substring_regex(texts, WIDE_SPACE)
+        parts = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), " ")
         offsets = parts.offsets.to_numpy().astype(np.int64)
-        offsets, per_text = offsets - offsets[0], np.diff(offsets)
+        offsets = offsets - offsets[0]
         flat = parts.flatten().dictionary_encode()
-        inside = self.pieces([" " + t for t in flat.dictionary.to_pylist()])
-        starts = flat.take(pa.array(offsets[:-1]))
-        first = self.pieces([starts.dictionary[i].as_py() for i in starts.indices.to_pylist()])
-        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
-            found = self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False)
-            first[i] = np.array(found.ids, dtype=np.uint32)
-        end = np.array([end_id], dtype=np.uint32)
-
-        # One pool of id runs: distinct inner pieces, first pieces by text, the end id.
-        pool = [*inside, *first, end]
-        sizes = np.fromiter((len(p) for p in pool), dtype=np.int64, count=len(pool))
-        at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        ids = np.concatenate(pool)
-        order = flat.indices.to_numpy().astype(np.int64)
-        order[offsets[:-1]] = len(inside) + np.arange(len(first))
-        order = np.insert(order, offsets[1:], len(pool) - 1)
-        runs = sizes[order]
+        spaced = pc.invert(pc.starts_with(flat.dictionary, "\n"))
+        pieces = pc.binary_join_element_wise(pc.if_else(spaced, " ", ""), flat.dictionary, "")
+        starts = pc.binary_join_element_wise("\n", flat.take(pa.array(offsets[:-1])).dictionary_decode(), "")
+        # Letters with a mark after them share the ids of the letters.
+        marked = pc.match_substring_regex(pieces, r"^[ \n]\pL+[.,]$")
+        place = self.places(pc.if_else(marked, pc.utf8_slice_codeunits(pieces, 0, -1), pieces))
+        mark = pc.if_else(marked, pc.utf8_slice_codeunits(pieces, -1), "")
+        first = self.places(starts)
+        wholes = [self.ids_of(t) for t in texts.filter(whole).to_pylist()]
+
+        # One pool of id runs: known pieces, nothing, the marks, the end id, the whole texts.
+        known, extra = len(self.sizes), [np.empty(0, np.uint32), *self.marks, np.array([end_id], np.uint32), *wholes]
+        extra_sizes = np.fromiter(map(len, extra), np.int64, len(extra))
+        ids = np.concatenate([self.ids, *extra])
+        at = np.append(self.at, len(self.ids) + np.cumsum(extra_sizes) - extra_sizes)
+        sizes = np.append(self.sizes, extra_sizes)
+
+        # Two runs per piece, its own and its mark's or nothing; the end id after each text.
+        mark_run = np.full(len(flat.dictionary), known)
+        for number, sign in enumerate((".", ",")):
+            mark_run[pc.equal(mark, sign).to_numpy(zero_copy_only=False)] = known + 1 + number
+        index = flat.indices.to_numpy()
+        order = np.stack((place[index], mark_run[index]), axis=1)
+        order[offsets[:-1], 0], order[offsets[:-1], 1] = first, known
+        skip = np.zeros(order.shape, np.int64)
+        skip[offsets[:-1], 0] = 1  # the line break put before a first piece
+        is_whole = whole.to_numpy(zero_copy_only=False)
+        order[offsets[:-1][is_whole], 0] = known + 4 + np.arange(len(wholes))
+        skip[offsets[:-1][is_whole], 0] = 0
+        order = np.insert(order.ravel(), 2 * offsets[1:], known + 3)
+        skip = np.insert(skip.ravel(), 2 * offsets[1:], 0)
+        runs = sizes[order] - skip
         ends = np.cumsum(runs)
-        gather = np.arange(ends[-1] if len(ends) else 0) + np.repeat(at[order] - (ends - runs), runs)
-        counts = np.add.reduceat(runs, np.concatenate(([0], np.cumsum(per_text + 1)[:-1]))) if len(texts) else runs
-        return ids[gather], counts
+        moved = np.repeat((at[order] + skip - (ends - runs)).astype(np.int32), runs)
+        moved += np.arange(len(moved), dtype=np.int32)
+        text_ends = ends[2 * offsets[1:] + np.arange(len(first))]
+        return ids[moved], np.diff(text_ends, prepend=0)
 
 
 def pack_boundaries(ends: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
