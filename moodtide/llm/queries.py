@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, pivots, sql, token_files
+from moodtide.llm import chat, decontaminate, mixing, pivots, sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +57,19 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op8_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five best rows by inner product for every fiftieth vector."""
     return pivots.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@register()
+def op3_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken of every document by the mix, with its source's size and target."""
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
+
+
+@register(sql.LEAKS)
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window for each."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(documents, table(spark, folder, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "word_start", "n_words")

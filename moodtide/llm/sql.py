@@ -35,3 +35,46 @@ WITH vectors AS (
 )
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
 """
+
+# Every window of an item's length around each shared shingle, by brute force.
+LEAKS = r"""
+WITH tokens AS (
+  SELECT doc_id, text, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM documents
+), items AS (
+  SELECT DISTINCT item_id, text, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM benchmark
+), doc_runs AS (
+  SELECT doc_id, text, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS run
+  FROM (SELECT DISTINCT doc_id, text, w, unnest(range(1, len(w) - 3)) AS p FROM tokens WHERE len(w) >= 5)
+), item_runs AS (
+  SELECT item_id, text AS item, len(w) AS n, q - 1 AS q, array_to_string(w[q:q + 4], ' ') AS run
+  FROM (SELECT item_id, text, w, unnest(range(1, len(w) - 3)) AS q FROM items WHERE len(w) >= 5)
+), wanted AS (SELECT DISTINCT run FROM item_runs
+), held AS (SELECT * FROM doc_runs SEMI JOIN wanted USING (run)
+), near AS (
+  SELECT DISTINCT h.doc_id, h.text, i.item_id, i.item, i.n, h.p - i.q + shift.d AS s
+  FROM held h JOIN item_runs i USING (run), range(-6, 7) shift(d)
+), docs AS (SELECT doc_id, text, count(*) AS runs FROM doc_runs GROUP BY ALL
+), placed AS (
+  SELECT DISTINCT n.doc_id, n.text, item_id, item, n, greatest(s, 0) AS start, least(s + n - 4, runs) AS stop
+  FROM near n JOIN docs d ON n.doc_id IS NOT DISTINCT FROM d.doc_id AND n.text = d.text
+  WHERE least(s + n - 4, runs) > greatest(s, 0)
+), window_counts AS (
+  SELECT p.doc_id, p.text, p.item_id, p.item, p.n, p.start, p.stop, h.run, count(*) AS c
+  FROM placed p JOIN held h ON p.doc_id IS NOT DISTINCT FROM h.doc_id AND p.text = h.text AND h.p >= p.start AND h.p < p.stop
+  GROUP BY ALL
+), item_counts AS (SELECT item_id, item, run, count(*) AS c FROM item_runs GROUP BY ALL
+), scored AS (
+  SELECT w.doc_id, w.text, w.item_id, w.item, w.n, w.start, w.stop, sum(least(w.c, i.c)) AS together
+  FROM window_counts w JOIN item_counts i ON w.item_id IS NOT DISTINCT FROM i.item_id AND w.item = i.item AND w.run = i.run
+  GROUP BY ALL
+), rated AS (
+  SELECT *, together / ((stop - start) + (n - 4) - together) AS similarity FROM scored
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, text, item_id, item ORDER BY similarity DESC, start) AS place
+  FROM rated WHERE similarity >= 0.8
+)
+SELECT doc_id, item_id, round(similarity, 6) AS similarity, CAST(start AS BIGINT) AS word_start, CAST(n AS BIGINT) AS n_words
+FROM best WHERE place = 1
+"""
