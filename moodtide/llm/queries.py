@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, mixing, pivots, sql, token_files
+from moodtide.llm import chat, decontaminate, mixing, near_duplicates, pivots, sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,10 @@ def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(documents, table(spark, folder, "benchmark").select("item_id", "text"))
     return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "word_start", "n_words")
+
+
+@register()
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Group of every document: the smallest id among its near duplicates."""
+    groups = near_duplicates.near_duplicate_groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "class_id", "group_rows")
