@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, mixing, near_duplicates, pivots, sql, token_files
+from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +80,13 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Group of every document: the smallest id among its near duplicates."""
     groups = near_duplicates.near_duplicate_groups(table(spark, folder, "documents").select("doc_id", "text"))
     return groups.select("doc_id", "class_id", "group_rows")
+
+
+@register()
+def op7_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document and of every page, by all evidence about it."""
+    documents = language.document_records(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    pages = language.page_records(table(spark, folder, "pages").select("page_id", "url", "html"))
+    model = language.fit_text_model(documents.select("declared", "text"))
+    found = language.identify(documents, model).unionByName(language.identify(pages, model))
+    return found.withColumn("posterior", F.round("posterior", 6))
