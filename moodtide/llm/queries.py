@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, sql, token_files
+from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, quality, sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +90,18 @@ def op7_language_evidence(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit_text_model(documents.select("declared", "text"))
     found = language.identify(documents, model).unionByName(language.identify(pages, model))
     return found.withColumn("posterior", F.round("posterior", 6))
+
+
+def fold(modulus: int) -> Column:
+    """Fold of a document: the CRC-32 of its id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+
+
+@register()
+def op5_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from the labels outside fold 2 of 4."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.quality_scores(documents, labels, fold(4) != 2)
+    held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
