@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, quality, sql, token_files
+from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, quality, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -105,3 +105,13 @@ def op5_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality.quality_scores(documents, labels, fold(4) != 2)
     held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register()
+def op4_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside fold 0 of 5."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity_scores(documents, labels, fold(5) != 0)
+    held_out = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

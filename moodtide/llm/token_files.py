@@ -331,7 +331,7 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.select("file", "doc_ids", "start").repartition("file")
+    spread = manifest.select("file", "doc_ids", "start").repartition(max(1, manifest.count()), "file")
     return spread.mapInArrow(rows, DOCUMENT_ROWS)
 
 
