@@ -520,13 +520,28 @@ def near_duplicate_groups(documents: DataFrame, limit: float = SIMILARITY) -> Da
 
 
 def one_of_each_group(documents: DataFrame, limit: float = SIMILARITY) -> DataFrame:
-    """The documents without near duplicates: of every group the row of the smallest id, then text hash, once."""
+    """The documents without near duplicates: of every group the row of the smallest id, then text hash, once.
+
+    The rows to drop are joined out, so that the texts that stay are not shuffled where those are few.
+    """
     labels = text_labels(documents.select("doc_id", "text"), limit).withColumnRenamed("node", "_row")
     rows = documents.select("doc_id", row_key().alias("_row")).join(small_broadcast(labels, 24), "_row", "left")
-    rows = rows.select("doc_id", "_row", F.coalesce("label", "_row").alias("_group"))
+    keyed = rows.groupBy("doc_id", "_row").agg(F.first(F.coalesce("label", "_row")).alias("_group"), F.count("*").alias("n"))
+    keyed = store(keyed, "grouped_keys")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    kept = rows.groupBy("_group").agg(F.min(order).alias("first"))
-    kept = store(kept.select(F.col("first.doc_id").alias("__kept_doc"), F.col("first._row").alias("__kept_row")), "kept_rows")
-    same = documents["doc_id"].eqNullSafe(F.col("__kept_doc")) & (row_key() == F.col("__kept_row"))
-    found = documents.join(kept, same, "left_semi")
-    return found.withColumn("__row", row_key()).dropDuplicates(["doc_id", "__row"]).drop("__row")
+    first = keyed.groupBy("_group").agg(F.min(order).alias("first"), F.count("*").alias("keys")).filter("keys > 1")
+    first = store(first.select("_group", "first"), "first_keys")
+    other = ~F.struct("doc_id", "_row").eqNullSafe(F.struct("first.doc_id", "first._row"))
+    dropped = store(keyed.join(small_broadcast(first, 40), "_group").filter(other).select("doc_id", "_row"), "dropped_rows")
+    repeated = store(keyed.filter("n > 1").select("doc_id", "_row"), "repeated_rows")
+
+    def among(keys: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+        named = keys.select(F.col("doc_id").alias("__doc"), F.col("_row").alias("__row"))
+        same = rows["doc_id"].eqNullSafe(F.col("__doc")) & (row_key() == F.col("__row"))
+        return rows.join(small_broadcast(named, 32), same, how)
+
+    kept = among(dropped, documents, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    once = among(repeated, kept, "left_semi").withColumn("__row", row_key()).dropDuplicates(["doc_id", "__row"])
+    return among(repeated, kept, "left_anti").unionByName(once.drop("__row"))

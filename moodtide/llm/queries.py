@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, language, mixing, near_duplicates, pivots, quality, sql, token_files, toxicity
+from moodtide.llm import chat, decontaminate, language, lines, mixing, near_duplicates, pivots, quality, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,12 @@ def op4_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.toxicity_scores(documents, labels, fold(5) != 0)
     held_out = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register(sql.LINES)
+def op1_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the lines of recurring templates."""
+    kept = lines.without_recurring_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    digest = F.md5(text).alias("kept_md5")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("kept_chars"), digest)

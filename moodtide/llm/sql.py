@@ -78,3 +78,45 @@ WITH tokens AS (
 SELECT doc_id, item_id, round(similarity, 6) AS similarity, CAST(start AS BIGINT) AS word_start, CAST(n AS BIGINT) AS n_words
 FROM best WHERE place = 1
 """
+
+LINES = r"""
+WITH texts AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS body FROM texts
+), worded AS (
+  SELECT doc_id, text, line,
+         list_transform(list_filter(string_split_regex(body, '[ \t\r]+'), lambda t: t <> ''),
+                        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS w
+  FROM split
+), lined AS (SELECT *, len(w) AS n, w[1:3] AS head FROM worded WHERE len(w) >= 3
+), busy AS (
+  SELECT n, head FROM (SELECT DISTINCT n, head, doc_id, text FROM lined) GROUP BY ALL HAVING count(*) >= 3
+), inside AS (SELECT * FROM lined SEMI JOIN busy USING (n, head)
+), different AS (
+  SELECT n, head, w, count(*) AS docs FROM (SELECT DISTINCT n, head, w, doc_id, text FROM inside) GROUP BY ALL
+), places AS (SELECT n, head, w, docs, unnest(range(len(w))) AS i, unnest(w) AS t FROM different
+), fixed AS (
+  SELECT n, head, i, t FROM places WHERE t <> '<*>' GROUP BY ALL HAVING sum(docs) >= 3
+), shaped AS (
+  SELECT p.n, p.head, p.w, list(f.t ORDER BY p.i) AS shape, count(f.t) AS constants
+  FROM places p LEFT JOIN fixed f USING (n, head, i, t) GROUP BY ALL
+), known AS (SELECT n, head, w, shape FROM shaped WHERE constants >= 0.6 * n
+), found AS (SELECT i.doc_id, i.text, i.line, k.n, k.head, k.shape FROM inside i JOIN known k USING (n, head, w)
+), often AS (
+  SELECT n, head, shape FROM (SELECT DISTINCT n, head, shape, doc_id, text FROM found) GROUP BY ALL HAVING count(*) >= 3
+), ranked AS (
+  SELECT f.*, row_number() OVER (PARTITION BY n, head, shape ORDER BY doc_id NULLS LAST, line) AS place
+  FROM found f SEMI JOIN often USING (n, head, shape)
+), gone AS (SELECT doc_id, text, list(line) AS dropped FROM ranked WHERE place > 1 GROUP BY ALL
+), kept AS (
+  SELECT d.doc_id, d.text, len(coalesce(g.dropped, [])) AS n_dropped, string_split(coalesce(d.text, ''), chr(10)) AS all_lines,
+         coalesce(g.dropped, []) AS dropped
+  FROM documents d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND coalesce(d.text, '') = g.text
+), rebuilt AS (
+  SELECT *, CASE WHEN n_dropped = 0 THEN coalesce(text, '') ELSE array_to_string(
+    [x FOR x, i IN all_lines IF NOT list_contains(dropped, i - 1)], chr(10)) END AS body FROM kept
+)
+SELECT doc_id, CAST(CASE WHEN text <> '' THEN len(all_lines) ELSE 0 END AS BIGINT) AS n_lines,
+       CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(body) AS BIGINT) AS kept_chars, md5(body) AS kept_md5
+FROM rebuilt
+"""
