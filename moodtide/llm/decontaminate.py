@@ -100,11 +100,27 @@ def window_contents(documents: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def fingerprints(runs: DataFrame, *keys: str) -> DataFrame:
-    """64-bit SimHash per key, from rows (keys, _run): one row per occurrence of a shingle."""
-    ones = [F.sum(F.shiftright("_run", bit).bitwiseAND(F.lit(1))).alias(f"_b{bit}") for bit in range(BITS)]
-    counted = runs.groupBy(*keys).agg(F.count("*").alias("_n"), *ones)
-    majority = [F.when(2 * F.col(f"_b{bit}") > F.col("_n"), F.shiftleft(F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")) for bit in range(BITS)]
-    return counted.select(*keys, reduce(Column.bitwiseOR, majority).alias("_print"))
+    """64-bit SimHash per key, from rows (keys, _run): one row per occurrence of a shingle.
+
+    Bit counts are summed three to a number, in lanes of 21 bits: 64 sums are too many for one
+    compiled aggregate.
+    """
+    lane, sums = 21, -(-BITS // 3)
+
+    def bit(number: int) -> Column:
+        return F.shiftright("_run", number).bitwiseAND(F.lit(1))
+
+    def packed(first: int) -> Column:
+        held = [number for number in range(first, BITS, sums)]
+        return reduce(Column.__add__, (F.shiftleft(bit(n).cast("long"), lane * i) for i, n in enumerate(held)))
+
+    counted = runs.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.sum(packed(i)).alias(f"_b{i}") for i in range(sums)))
+
+    def majority(number: int) -> Column:
+        count = F.shiftright(f"_b{number % sums}", lane * (number // sums)).bitwiseAND(F.lit(2**lane - 1))
+        return F.when(2 * count > F.col("_n"), F.shiftleft(F.lit(1).cast("long"), number)).otherwise(F.lit(0).cast("long"))
+
+    return counted.select(*keys, reduce(Column.bitwiseOR, map(majority, range(BITS))).alias("_print"))
 
 
 def blocks(fingerprint: Column) -> Column:
