@@ -115,20 +115,20 @@ def fit_text_model(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, ro
         yield pa.RecordBatch.from_arrays(arrays, names=["language", "bucket", "n"])
 
     counted = sample.mapInArrow(counts, "language int, bucket int, n long").filter("n > 0")
-    summed = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    held = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.full(shape, SMOOTH)
-    table[summed["language"], summed["bucket"]] += summed["n"]
+    table[held["language"].to_numpy(), held["bucket"].to_numpy()] += held["n"].to_numpy()
     table = table[:, :-1]
     even = np.full((1, shape[1] - 1), 1.0)
     model = np.log(np.concatenate((table / table.sum(1, keepdims=True), even / even.sum())))
     return np.concatenate((model, np.zeros((len(model), 1))), axis=1).T.astype(np.float32)
 
 
-def text_likelihoods(records: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES) -> DataFrame:
-    """Keys and evidence of every record with one text log likelihood per language and for none (t0, t1, ...)."""
+def text_likelihoods(records: DataFrame, model: np.ndarray) -> DataFrame:
+    """Keys and evidence of every record, with the text's log likelihood in every language and in none (heard),
+    and the probabilities these alone give (shares)."""
     shipped = records.sparkSession.sparkContext.broadcast(model)
     keys = [name for name in records.columns if name != "text"]
-    names = [f"t{i}" for i in range(len(languages) + 1)]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in records.schema if f.name != "text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,73 +136,79 @@ def text_likelihoods(records: DataFrame, model: np.ndarray, languages: Sequence[
         for batch in bounded_slices(batches, "text", SLICE_BYTES):
             buckets, bounds = trigram_buckets(batch["text"])
             full = np.flatnonzero(bounds[1:] > bounds[:-1])
-            columns = []
+            heard = np.zeros((batch.num_rows, table.shape[1]))
             for column in range(table.shape[1]):
-                sums = np.zeros(batch.num_rows)
                 if len(full):
                     each = np.ascontiguousarray(table[:, column])[buckets]
-                    sums[full] = np.add.reduceat(each, bounds[full], dtype=np.float64)
-                columns.append(pa.array(sums / OVERLAP))
-            yield pa.RecordBatch.from_arrays([batch[k] for k in keys] + columns, names=[*keys, *names])
+                    heard[full, column] = np.add.reduceat(each, bounds[full], dtype=np.float64) / OVERLAP
+            powers = np.exp(heard - heard.max(1, keepdims=True))
+            lists = []
+            for values in (heard, powers / powers.sum(1, keepdims=True)):
+                offsets = np.arange(0, values.size + 1, table.shape[1], dtype=np.int32)
+                lists.append(pa.ListArray.from_arrays(offsets, values.ravel()))
+            yield pa.RecordBatch.from_arrays([batch[k] for k in keys] + lists, names=[*keys, "heard", "shares"])
 
-    return records.mapInArrow(score, schema + "".join(f", {name} double" for name in names))
+    return records.mapInArrow(score, f"{schema}, heard array<double>, shares array<double>")
 
 
-def softmax(values: Sequence[Column]) -> list[Column]:
-    top = F.greatest(*values)
-    powers = [F.exp(v - top) for v in values]
-    return [p / sum(powers[1:], powers[0]) for p in powers]
+def parts(name: str, classes: int) -> list[Column]:
+    return [F.get(name, F.lit(i)) for i in range(classes)]
 
 
-def soft_counts(rows: DataFrame, *by: str) -> DataFrame:
-    names = [name for name in rows.columns if name.startswith("p") and name[1:].isdigit()]
-    return rows.groupBy(*by).agg(*(F.sum(name).alias(f"{by[-1]}_{name}") for name in names))
+def total(values: Sequence[Column]) -> Column:
+    return sum(values[1:], values[0])
+
+
+def summed(rows: DataFrame, by: str, source: str, classes: int) -> DataFrame:
+    """Sums of a list column per value of ``by``, as a list named after it."""
+    return rows.groupBy(by).agg(F.array(*map(F.sum, parts(source, classes))).alias(f"{by}_counts"))
 
 
 def joined(rows: DataFrame, table: DataFrame, on: str) -> DataFrame:
     """Left join with a stored table, by broadcast where it is measured to be small."""
-    small = measured_bytes(table, F.coalesce(F.octet_length(on), F.lit(0)) + 64) <= BROADCAST_BYTES
+    small = measured_bytes(table, F.coalesce(F.octet_length(on), F.lit(0)) + 128) <= BROADCAST_BYTES
     return rows.join(F.broadcast(table) if small else table, on, "left")
 
 
+def whole(table: DataFrame, name: str, classes: int) -> Column:
+    """The sums of a list column over all rows of a stored table, and its rows, as a scalar."""
+    sums = (F.coalesce(F.sum(p), F.lit(0.0)) for p in parts(name, classes))
+    return table.agg(F.struct(F.array(*sums).alias("counts"), F.count("*").alias("rows"))).scalar()
+
+
 def value_likelihoods(rows: DataFrame, name: str, classes: int) -> DataFrame:
-    """ln P(value | language) of an evidence column, as columns name_0, name_1, ..."""
-    counts = store(soft_counts(rows.filter(F.col(name).isNotNull()), name), f"{name}_counts")
-    columns = [F.col(f"{name}_p{i}") for i in range(classes)]
-    totals = counts.agg(
-        F.struct(F.count("*").alias("values"), *(F.coalesce(F.sum(c), F.lit(0.0)).alias(f"p{i}") for i, c in enumerate(columns)))
-    ).scalar()
-    share = [F.log((c + SMOOTH) / (F.col("totals")[f"p{i}"] + SMOOTH * F.col("totals")["values"])) for i, c in enumerate(columns)]
-    table = counts.withColumn("totals", totals)
-    return store(table.select(name, *(s.alias(f"{name}_{i}") for i, s in enumerate(share))), f"{name}_likelihoods")
+    """ln P(value | language) of an evidence column, as a list."""
+    known = rows.filter(F.col(name).isNotNull())
+    counts = store(summed(known, name, "shares", classes), f"{name}_counts")
+    table = counts.withColumn("all", whole(counts, f"{name}_counts", classes))
+    logs = [
+        F.log((own + SMOOTH) / (F.get(F.col("all.counts"), F.lit(i)) + SMOOTH * F.col("all.rows")))
+        for i, own in enumerate(parts(f"{name}_counts", classes))
+    ]
+    return store(table.select(name, F.array(*logs).alias(f"{name}_logs")), f"{name}_logs")
+
+
+def smoothed(counts: str, above: Sequence[Column], classes: int) -> Column:
+    own = parts(counts, classes)
+    return F.array(*((c + HOST_WEIGHT * a) / (total(own) + HOST_WEIGHT) for c, a in zip(own, above, strict=True)))
 
 
 def host_priors(rows: DataFrame, classes: int) -> DataFrame:
-    """Per host its soft counts (host_p0, ...) and its domain's smoothed shares (base_0, ...)."""
-    domain = F.substring_index("host", ".", -2).alias("domain")
-    hosts = store(soft_counts(rows.filter(F.col("host").isNotNull()), "host").withColumn("domain", domain), "host_counts")
-
-    def level(name: str, below: DataFrame, source: str) -> DataFrame:
-        return below.groupBy(name).agg(*(F.sum(f"{source}_p{i}").alias(f"{name}_p{i}") for i in range(classes)))
-
-    top = F.substring_index("domain", ".", -1).alias("top")
-    domains = store(level("domain", hosts, "host").withColumn("top", top), "domain_counts")
-    tops = store(level("top", domains, "domain"), "top_counts")
-    whole = tops.agg(F.struct(*(F.coalesce(F.sum(f"top_p{i}"), F.lit(0.0)).alias(f"p{i}") for i in range(classes)))).scalar()
-
-    def smoothed(name: str, above: list[Column]) -> list[Column]:
-        counts = [F.col(f"{name}_p{i}") for i in range(classes)]
-        return [(c + HOST_WEIGHT * a) / (sum(counts[1:], counts[0]) + HOST_WEIGHT) for c, a in zip(counts, above, strict=True)]
-
-    total = sum((F.col("whole")[f"p{i}"] for i in range(classes)), F.lit(0.0))
-    shares = [(F.col("whole")[f"p{i}"] + 1) / (total + classes) for i in range(classes)]
-    tops = tops.withColumn("whole", whole).select(
-        "top", *(s.alias(f"top_{i}") for i, s in enumerate(smoothed("top", shares)))
+    """Per host its soft counts (host_counts) and its domain's smoothed shares (base)."""
+    known = rows.filter(F.col("host").isNotNull())
+    hosts = store(
+        summed(known, "host", "shares", classes).withColumn("domain", F.substring_index("host", ".", -2)), "host_counts"
     )
-    domains = domains.join(tops, "top").select(
-        "domain", *(s.alias(f"base_{i}") for i, s in enumerate(smoothed("domain", [F.col(f"top_{i}") for i in range(classes)])))
-    )
-    return store(hosts.join(domains, "domain").drop("domain"), "host_priors")
+    domains = summed(hosts, "domain", "host_counts", classes)
+    domains = store(domains.withColumn("top", F.substring_index("domain", ".", -1)), "domain_counts")
+    tops = store(summed(domains, "top", "domain_counts", classes), "top_counts")
+    tops = tops.withColumn("all", whole(tops, "top_counts", classes))
+    everywhere = parts("all.counts", classes)
+    even = [(c + 1) / (total(everywhere) + classes) for c in everywhere]
+    tops = store(tops.select("top", smoothed("top_counts", even, classes).alias("top_shares")), "top_shares")
+    base = smoothed("domain_counts", parts("top_shares", classes), classes).alias("base")
+    domains = store(domains.join(tops, "top").select("domain", base), "domain_shares")
+    return store(joined(hosts, domains, "domain").drop("domain"), "host_priors")
 
 
 def identify(records: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES) -> DataFrame:
@@ -210,37 +216,38 @@ def identify(records: DataFrame, model: np.ndarray, languages: Sequence[str] = L
 
     ``records`` has text, declared, suffix, host and any key columns.
     """
-    classes = len(languages) + 1
-    scored = text_likelihoods(records, model, languages)
-    texts = softmax([F.col(f"t{i}") for i in range(classes)])
-    rows = store(scored.withColumns({f"p{i}": p for i, p in enumerate(texts)}), "text_likelihoods")
+    names = [*languages, UNKNOWN]
+    classes = len(names)
+    rows = store(text_likelihoods(records, model), "text_likelihoods")
     fused = rows
     for name in ("declared", "suffix"):
         fused = joined(fused, value_likelihoods(rows, name, classes), name)
     fused = joined(fused, host_priors(rows, classes), "host")
-    own = [F.greatest(F.col(f"host_p{i}") - F.col(f"p{i}"), F.lit(0.0)) for i in range(classes)]
-    held = sum(own[1:], own[0])
-    logs = []
-    for i in range(classes):
-        prior = F.log((own[i] + HOST_WEIGHT * F.col(f"base_{i}")) / (held + HOST_WEIGHT))
-        others = (F.coalesce(F.col(f"{name}_{i}"), F.lit(0.0)) for name in ("declared", "suffix"))
-        logs.append(sum(others, F.col(f"t{i}") + F.coalesce(prior, F.lit(0.0))))
-    fused = fused.withColumns({f"f{i}": log for i, log in enumerate(logs)})
-    sure = softmax([F.col(f"f{i}") for i in range(classes)])
-    names = [*languages, UNKNOWN]
-    best = F.array_max(F.array(*(F.struct(s.alias("share"), F.lit(n).alias("name")) for s, n in zip(sure, names, strict=True))))
-    heard = F.array_max(F.array(*(F.struct(F.col(f"t{i}").alias("share"), F.lit(n).alias("name")) for i, n in enumerate(names))))
+
+    def prior(i: int) -> Column:
+        others = [F.greatest(c - s, F.lit(0.0)) for c, s in zip(parts("host_counts", classes), parts("shares", classes), strict=True)]
+        return F.log((others[i] + HOST_WEIGHT * F.get("base", F.lit(i))) / (total(others) + HOST_WEIGHT))
+
+    nothing = F.lit(0.0)
+    logs = [
+        F.get("heard", F.lit(i))
+        + F.coalesce(F.get("declared_logs", F.lit(i)), nothing)
+        + F.coalesce(F.get("suffix_logs", F.lit(i)), nothing)
+        + F.coalesce(prior(i), nothing)
+        for i in range(classes)
+    ]
     keys = [name for name in records.columns if name not in ("text", *EVIDENCE)]
-    chosen = fused.select(*keys, "declared", best.alias("best"), heard.alias("heard"))
-    accepted = (F.col("best.name") != UNKNOWN) & (F.col("best.share") >= THRESHOLD)
-    return chosen.select(
-        *keys,
-        F.col("best.name").alias("language"),
-        F.col("best.share").alias("posterior"),
-        F.col("heard.name").alias("text_language"),
-        "declared",
-        accepted.alias("accepted"),
+    weighed = fused.select(*keys, "declared", "heard", F.array(*logs).alias("logs"))
+
+    def named(values: str) -> Column:
+        return F.element_at(F.array(*map(F.lit, names)), F.array_position(values, F.array_max(values)).cast("int"))
+
+    top = F.array_max("logs")
+    share = 1 / F.aggregate("logs", F.lit(0.0), lambda held, log: held + F.exp(log - top))
+    found = weighed.select(
+        *keys, named("logs").alias("language"), share.alias("posterior"), named("heard").alias("text_language"), "declared"
     )
+    return found.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("posterior") >= THRESHOLD))
 
 
 def accepted_documents(documents: DataFrame) -> DataFrame:

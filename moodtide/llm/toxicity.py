@@ -285,8 +285,9 @@ def training_sample(documents: DataFrame, labels: DataFrame, may_learn: Column)
     ids = chosen[0].union(chosen[1]).select("doc_id", "label")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     rows = rows.filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id")
-    one = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).toPandas().sort_values("doc_id")
-    return one["text"].tolist(), one["label"].to_numpy(np.int64)
+    one = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    held = one.toArrow().sort_by("doc_id")
+    return held["text"].to_pylist(), held["label"].to_numpy().astype(np.int64)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, may_learn: Column) -> DataFrame:
