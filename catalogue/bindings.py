@@ -10,23 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from moodtide.functions.numbers import clamp_score
 from moodtide.operators.polarity import classify, fit_polarity_model
-from moodtide.storage import spread_scan, store
+from moodtide.storage import store
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
-    """A table with long texts, spread over the cores when its scan is too small to fill them."""
-    return spread_scan(table(spark, folder, name), *keys)
-
-
 # Posts: documents, with their source as platform.
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
-    return text_table(spark, folder, "documents", "doc_id").select(
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), "text", F.col("source").alias("platform"), "lang", "n_chars"
     )
 
@@ -34,7 +29,7 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Texts with the quality label standing in for polarity."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    return text_table(spark, folder, "documents", "doc_id").select("doc_id", "text").join(labels, "doc_id")
+    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
 
 
 def polarity_model(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,8 +43,20 @@ FIRST_MILLIS = 1704067200000
 
 
 def notes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as a sound note, and once more with parts missing, blank or unreadable."""
     source, lang = F.col("source"), F.col("lang")
-    return text_table(spark, folder, "documents", "doc_id").select(
+    documents = table(spark, folder, "documents")
+    sound = documents.select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("note_id"),
+        F.concat_ws(" ", source, lang).alias("title"),
+        F.col("text").alias("desc"),
+        (FIRST_MILLIS + F.col("doc_id") * 61007).alias("time"),
+        F.col("n_chars").cast("string").alias("liked_count"),
+        F.col("doc_id").cast("string").alias("comment_count"),
+        lang.alias("ip_location"),
+        F.concat_ws(",", lang, source).alias("tag_list"),
+    )
+    damaged = documents.select(
         F.when(source != "src5", F.col("doc_id").cast("string")).alias("note_id"),
         F.when(lang == "fr", "  ").when(lang != "de", F.concat_ws(" ", source, lang)).alias("title"),
         F.when(source == "src1", "").when(source != "src2", F.col("text")).alias("desc"),
@@ -59,6 +66,7 @@ def notes(spark: SparkSession, folder: str) -> DataFrame:
         F.when(source == "src6", " ").when(source != "src4", lang).alias("ip_location"),
         F.concat_ws(",", F.upper(lang), F.concat(F.lit(" "), source, F.lit(" ")), F.lit("")).alias("tag_list"),
     )
+    return sound.unionByName(damaged)
 
 
 NOTES_SQL = f"""
@@ -67,7 +75,11 @@ notes AS (
          CASE WHEN lang = 'fr' THEN '  ' WHEN lang <> 'de' THEN source || ' ' || lang END AS title,
          CASE WHEN source = 'src1' THEN '' WHEN source <> 'src2' THEN text END AS "desc",
          CASE WHEN source <> 'src3' THEN {FIRST_MILLIS} + doc_id * 61007 END AS "time",
-         CASE WHEN source = 'src6' THEN ' ' WHEN source <> 'src4' THEN lang END AS ip_location
+         CASE WHEN source = 'src6' THEN ' ' WHEN source <> 'src4' THEN lang END AS ip_location,
+         upper(lang) || ', ' || source || ' ,' AS tag_list
+  FROM documents
+  UNION ALL
+  SELECT 'd' || doc_id, source || ' ' || lang, text, {FIRST_MILLIS} + doc_id * 61007, lang, lang || ',' || source
   FROM documents
 ), valid_notes AS (
   SELECT * FROM notes
@@ -78,7 +90,7 @@ notes AS (
 
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     role, turn = F.col("role"), F.col("turn")
-    return text_table(spark, folder, "conversations", "conv_id").select(
+    return table(spark, folder, "conversations").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string")).alias("comment_id"),
         F.col("conv_id").cast("string").alias("note_id"),
         F.when(role == "system", "  ").otherwise(F.col("text")).alias("content"),

@@ -219,12 +219,9 @@ UNION ALL SELECT 'valid_notes', count(*) FROM valid_notes
 UNION ALL SELECT 'comments', count(*) FROM comments
 UNION ALL SELECT 'valid_comments', count(*) FROM valid_comments""")
 def record_counts(spark: SparkSession, folder: str) -> DataFrame:
-    all_notes, all_comments = notes(spark, folder), comments(spark, folder)
-    return reports.row_counts(
-        notes=all_notes,
-        valid_notes=filters.valid_notes(all_notes),
-        comments=all_comments,
-        valid_comments=filters.valid_comments(all_comments),
+    counted = reports.counts_with_valid("notes", notes(spark, folder), filters.is_valid_note())
+    return counted.unionByName(
+        reports.counts_with_valid("comments", comments(spark, folder), filters.is_valid_comment())
     )
 
 

@@ -21,7 +21,6 @@ from catalogue.bindings import (
     r6,
     rounded,
     table,
-    text_table,
 )
 from catalogue.registry import register
 from moodtide.functions.dates import day_string
@@ -54,7 +53,7 @@ labelled AS (
   SELECT sum(c1) AS n1, sum(c0) AS n0, count(*) AS v FROM token_counts
 ), model AS (
   SELECT token, ln((c1 + 1) / (n1 + v)) - ln((c0 + 1) / (n0 + v)) AS weight, CAST(c1 + c0 AS BIGINT) AS occurrences
-  FROM token_counts, totals WHERE c1 + c0 >= 2
+  FROM token_counts, totals
 )"""
 
 
@@ -78,7 +77,7 @@ POST_SCORES_SQL = f"""{MODEL_SQL}, posts AS (
 
 
 @register("""
-SELECT doc_id, source, CAST(length(body) AS INTEGER) AS chars
+SELECT doc_id, source, md5(body) AS body_md5
 FROM (SELECT *, CASE WHEN source = 'src1' THEN '' WHEN source = 'src3' THEN '  ' WHEN source <> 'src2' THEN text END
         AS body FROM documents)
 WHERE body IS NOT NULL AND body <> ''
@@ -87,7 +86,7 @@ def nonempty_posts(spark: SparkSession, folder: str) -> DataFrame:
     source = F.col("source")
     body = F.when(source == "src1", "").when(source == "src3", "  ").when(source != "src2", F.col("text"))
     rows = table(spark, folder, "documents").withColumn("text", body)
-    return filters.nonempty_posts(rows).select("doc_id", "source", F.length("text").alias("chars"))
+    return filters.nonempty_posts(rows).select("doc_id", "source", F.md5("text").alias("body_md5"))
 
 
 @register(f"WITH {ORDER_NOTES_SQL} SELECT note_id, liked_count, comment_count FROM order_notes")
@@ -97,16 +96,16 @@ def repair_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register(f"""WITH {NOTES_SQL}
-SELECT note_id, title, CAST(length("desc") AS INTEGER) AS chars, "time" FROM valid_notes""")
+SELECT note_id, title, md5("desc") AS desc_md5, "time" FROM valid_notes""")
 def valid_notes(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.valid_notes(notes(spark, folder)).select("note_id", "title", F.length("desc").alias("chars"), "time")
+    return filters.valid_notes(notes(spark, folder)).select("note_id", "title", F.md5("desc").alias("desc_md5"), "time")
 
 
 @register(f"""WITH {COMMENTS_SQL}
-SELECT comment_id, note_id, create_time, CAST(length(content) AS INTEGER) AS chars FROM valid_comments""")
+SELECT comment_id, note_id, create_time, md5(content) AS content_md5 FROM valid_comments""")
 def valid_comments(spark: SparkSession, folder: str) -> DataFrame:
     return filters.valid_comments(comments(spark, folder)).select(
-        "comment_id", "note_id", "create_time", F.length("content").alias("chars")
+        "comment_id", "note_id", "create_time", F.md5("content").alias("content_md5")
     )
 
 
@@ -138,10 +137,10 @@ def assemble_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register(f"""WITH {TEXT_UNION_SQL}
-SELECT id, CAST(length(text) AS INTEGER) AS chars, create_time, ip_location, note_id, type FROM texts""")
+SELECT id, md5(text) AS text_md5, create_time, ip_location, note_id, type FROM texts""")
 def text_union(spark: SparkSession, folder: str) -> DataFrame:
     union = _text_union(spark, folder)
-    return union.select("id", F.length("text").alias("chars"), "create_time", "ip_location", "note_id", "type")
+    return union.select("id", F.md5("text").alias("text_md5"), "create_time", "ip_location", "note_id", "type")
 
 
 def _text_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,7 +159,7 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     noisy = F.concat(
         F.lit("see https://a.b/c?d=1 @user_1 "), F.coalesce("url", F.lit("")), F.lit(" "), "text", F.lit(" @"), "source"
     )
-    documents = text_table(spark, folder, "documents", "doc_id").join(urls, "doc_id", "left")
+    documents = table(spark, folder, "documents").join(urls, "doc_id", "left")
     return documents.select("doc_id", cleaned(noisy).alias("text"))
 
 
@@ -177,13 +176,13 @@ def opinion_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register(f"""WITH {POST_SCORES_SQL}
-SELECT id, platform, lang, n_chars, CAST(length(text) AS INTEGER) AS chars,
+SELECT id, platform, lang, n_chars, md5(text) AS text_md5,
        {r6('sentiment_score')} AS sentiment_score, sentiment_category
 FROM opinions""")
 def scored_posts(spark: SparkSession, folder: str) -> DataFrame:
     scored = polarity.score_text(posts(spark, folder), polarity_model(spark, folder), key=["id"])
     return rounded(scored, "sentiment_score").select(
-        "id", "platform", "lang", "n_chars", F.length("text").alias("chars"), "sentiment_score", "sentiment_category"
+        "id", "platform", "lang", "n_chars", F.md5("text").alias("text_md5"), "sentiment_score", "sentiment_category"
     )
 
 
@@ -217,8 +216,7 @@ def _scored_union(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
 SELECT type, sentiment_category, count(*) AS "count", {r6('avg(sentiment_score)')} AS avg_score
 FROM opinions GROUP BY ALL""")
 def union_class_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    counted = _scored_union(spark, folder).groupBy("type", "sentiment_category")
-    return rounded(counted.agg(F.count("*").alias("count"), F.avg("sentiment_score").alias("avg_score")), "avg_score")
+    return rounded(reports.class_distribution(_scored_union(spark, folder), "type"), "avg_score")
 
 
 @register(f"""WITH {UNION_SCORES_SQL}
@@ -235,6 +233,15 @@ def union_class_by_location(spark: SparkSession, folder: str) -> DataFrame:
     return reports.class_by_location(_scored_union(spark, folder, "ip_location"))
 
 
+@register(f"""WITH {POST_SCORES_SQL}
+SELECT id, {r6('sentiment_score')} AS sentiment_score, sentiment_category FROM opinions""")
+def opinion_score_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The way for models too large to travel whole: a small head by broadcast, the rest by a salted join."""
+    model = polarity_model(spark, folder)
+    scored = polarity.score_records(posts(spark, folder), model, key=["id"], broadcast_limit=0, head_rows=500)
+    return rounded(scored, "sentiment_score")
+
+
 @register(f"""
 SELECT doc_id, {r6('sentiment_score')} AS sentiment_score, {CLASS_SQL.format('sentiment_score')} AS sentiment_category
 FROM (
@@ -243,10 +250,10 @@ FROM (
   FROM (SELECT doc_id, {clean_sql('text')} AS body FROM documents)
 )""")
 def plugged_in_scorer(spark: SparkSession, folder: str) -> DataFrame:
-    """A caller's own per-text function in Arrow batches: four times the share of the letter e."""
+    """A caller's own function over Arrow batches: four times the share of the letter e."""
 
     def load():
-        return lambda text: 4 * text.count("e") / len(text)
+        return lambda texts: 4 * texts.str.count("e") / texts.str.len()
 
-    scored = polarity.score_with(text_table(spark, folder, "documents", "doc_id"), load)
+    scored = polarity.score_with(table(spark, folder, "documents"), load)
     return rounded(scored.select("doc_id", "sentiment_score", "sentiment_category"), "sentiment_score")

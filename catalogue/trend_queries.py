@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Transformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue.bindings import SCORED_SQL, ZONE, r6, rounded, scored_events
 from catalogue.registry import register
 from moodtide.operators import forecast, series
-from moodtide.plans.trend import forecast_trend, stored_model_rows
+from moodtide.plans.trend import stored_model_rows
 from moodtide.storage import store
 
 HORIZON = 30
@@ -134,17 +136,99 @@ def future_calendar(spark: SparkSession, folder: str) -> DataFrame:
     return series.future_calendar(_features(spark, folder), HORIZON)
 
 
-@register()
+# What is known before any model: calendar, rows, and labels on the same rows the model sees.
+MODEL_ROWS_SQL = f"""{daily_sql('platform')}, model_rows AS (
+  SELECT series, "date", avg_sentiment AS label, lag(avg_sentiment, 1) OVER days AS sentiment_lag_1,
+         lag(avg_sentiment, 2) OVER days AS sentiment_lag_2,
+         avg(avg_sentiment) OVER (days ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sentiment_past_7,
+         CAST(lag(post_count, 1) OVER days AS DOUBLE) AS post_count_lag_1,
+         lag(coalesce(sentiment_std, 0), 1) OVER days AS sentiment_std_lag_1,
+         CAST(dayofweek(CAST("date" AS DATE)) + 1 AS DOUBLE) AS day_of_week,
+         CAST(month(CAST("date" AS DATE)) AS DOUBLE) AS "month", CAST(year(CAST("date" AS DATE)) AS DOUBLE) AS "year",
+         row_number() OVER days <= floor(count(*) OVER (PARTITION BY series) * (1 - CAST(0.2 AS DOUBLE))) AS is_train
+  FROM daily WINDOW days AS (PARTITION BY series ORDER BY "date")
+), known AS (SELECT * FROM model_rows WHERE sentiment_lag_2 IS NOT NULL), train AS (SELECT * FROM known WHERE is_train)"""
+
+FUTURE_SQL = f"""
+latest AS (SELECT series, max(CAST("date" AS DATE)) AS last_date FROM daily GROUP BY 1),
+days AS (SELECT series, last_date + CAST(step AS INTEGER) AS day FROM latest, range(1, {HORIZON + 1}) AS steps(step)),
+bounds AS (SELECT min(label) AS low, max(label) AS high FROM train)"""
+
+
+def _within_labels(rows: DataFrame, value: str) -> DataFrame:
+    """Whether a value lies in the range of the training labels, which no forest can leave."""
+    return rows.select("series", "date", F.col(value).between(F.col("low") - 1e-9, F.col("high") + 1e-9).alias("in_range"))
+
+
+def _label_range(model_rows: DataFrame) -> DataFrame:
+    return forecast.with_history(model_rows).filter("is_train").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+
+
+@register(f"""WITH {MODEL_ROWS_SQL}, {FUTURE_SQL}
+SELECT series, strftime(day, '%Y-%m-%d') AS "date", low <= high AS in_range FROM days, bounds""")
 def forest_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    """Thirty days ahead for every series, from one forest over all of them."""
-    return forecast_trend(scored_events(spark, folder), "platform", HORIZON, zone=ZONE).future
+    """Thirty days ahead for every series, from one forest over all of them: days, and values within the labels."""
+    rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
+    future = forecast.forecast(rows, forecast.fit_forest(rows), HORIZON)
+    return _within_labels(future.crossJoin(F.broadcast(_label_range(rows))), "predicted_sentiment")
 
 
-@register()
+@register(f"""WITH {MODEL_ROWS_SQL}
+SELECT series, "date", {r6('label')} AS label, label IS NOT NULL AS in_range FROM known WHERE NOT is_train""")
 def forest_eval(spark: SparkSession, folder: str) -> DataFrame:
-    """Errors of the forest on the later days, per series."""
+    """Predictions of the forest for the later days: their rows and labels, and values within the labels."""
+    rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
+    predicted = forecast.predict_test_days(rows, forecast.fit_forest(rows)).crossJoin(F.broadcast(_label_range(rows)))
+    held = _within_labels(predicted, "prediction").join(predicted.select("series", "date", "label"), ["series", "date"])
+    return rounded(held.select("series", "date", "label", "in_range"), "label")
+
+
+@register(f"""WITH {MODEL_ROWS_SQL}, mean AS (SELECT avg(label) AS guess FROM train)
+SELECT series, {r6('sqrt(avg(pow(label - guess, 2)))')} AS rmse, {r6('avg(abs(label - guess))')} AS mae, count(*) AS "rows"
+FROM known, mean WHERE NOT is_train GROUP BY series""")
+def forest_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole pipeline with one tree of depth 0 over all rows: it predicts the mean training label."""
+    rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
+    model = forecast.fit_forest(rows, trees=1, depth=0, bootstrap=False, subset="all")
+    quality = series.forecast_quality(forecast.predict_test_days(rows, model), "label", "prediction", "series")
+    return rounded(quality.select("series", "rmse", "mae", "rows"), "rmse", "mae")
+
+
+VECTOR_SQL = ", ".join(
+    f"""{r6(f'("{n}" - (SELECT avg("{n}") FROM train)) / coalesce(nullif((SELECT stddev_samp("{n}") FROM train), 0), 1)')}"""
+    f' * CAST((SELECT stddev_samp("{n}") FROM train) > 0 AS INTEGER) AS "{n}"'
+    for n in forecast.MODEL_FEATURES
+)
+
+
+@register(f"""WITH {MODEL_ROWS_SQL} SELECT series, "date", {VECTOR_SQL} FROM known""")
+def scaled_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The assembler and scaler stages as the forest sees them, unfolded again."""
+    rows = forecast.with_history(stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE))
+    stages = forecast.scaling_stages().fit(forecast.train_rows(rows))
+    values = vector_to_array(F.col("features"))
+    columns = [F.get(values, F.lit(i)).alias(name) for i, name in enumerate(forecast.MODEL_FEATURES)]
+    return rounded(stages.transform(rows).select("series", "date", *columns), *forecast.MODEL_FEATURES)
+
+
+class MeanOfRecent(Transformer):
+    """Predicts the mean of the seven latest values."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("prediction", F.col("sentiment_past_7"))
+
+
+@register(f"""WITH RECURSIVE {daily_sql('platform').strip()}, latest AS (
+  SELECT series, max(CAST("date" AS DATE)) AS last_date,
+         list(avg_sentiment ORDER BY "date" DESC)[1:7] AS recent FROM daily GROUP BY series
+), steps AS (
+  SELECT series, 1 AS step, last_date, recent, list_avg(recent) AS value FROM latest
+  UNION ALL
+  SELECT series, step + 1, last_date, list_concat([value], recent)[1:7], list_avg(list_concat([value], recent)[1:7])
+  FROM steps WHERE step < {HORIZON}
+)
+SELECT series, strftime(last_date + step, '%Y-%m-%d') AS "date", {r6('value')} AS predicted_sentiment FROM steps""")
+def recursive_mean_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """The step-by-step forecast with a model that SQL can follow."""
     rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
-    predicted = forecast.predict_test_days(rows, forecast.fit_forest(rows))
-    return series.forecast_quality(predicted, "label", "prediction", "series").select(
-        "series", F.col("rmse"), F.col("mae"), F.col("r2"), F.col("rows")
-    )
+    return rounded(forecast.forecast(rows, MeanOfRecent(), HORIZON), "predicted_sentiment")

@@ -11,7 +11,8 @@ WHOLE_NUMBER_PATTERN = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
 def repair_count(text: Column) -> Column:
     """Numeric text as a long: NULL and blank are 0, ``1.5`` is 1, other text and overflow are NULL.
 
-    The plain ``cast`` of a Spark 3 session (ANSI off) gives these values; under ANSI it would raise.
+    The plain ``cast`` of a Spark 3 session (ANSI off) gives these values, but for a number without an
+    integer part (``.5``), which is NULL here; under ANSI the cast would raise.
     Unreadable text is made NULL before the cast: a failing ``try_cast`` costs an exception per row.
     """
     digits = F.nullif(F.regexp_extract(text, WHOLE_NUMBER_PATTERN, 1), F.lit(""))

@@ -13,7 +13,6 @@ WORD = r"\p{L}\p{N}_"
 URL_PATTERN = rf"https?://[^{SPACE}]+"
 MENTION_PATTERN = rf"@[{WORD}]+"
 SPACE_RUN_PATTERN = rf"[{SPACE}]+"
-BLANK_PATTERN = rf"^[{SPACE}]*$"
 # The script starts at U+2E80; testing the range first spares Latin letters the script lookup.
 HAN_PATTERN = r"([\x{2e80}-\x{10ffff}&&\p{IsHan}])"
 TOKEN_GAP_PATTERN = r"[^\p{L}\p{N}]+"
@@ -45,11 +44,6 @@ def not_blank(text: Column) -> Column:
     return text.isNotNull() & (F.trim(text) != "")
 
 
-def is_blank(text: Column) -> Column:
-    """NULL, empty, or nothing but Unicode white space."""
-    return text.isNull() | text.rlike(BLANK_PATTERN)
-
-
 def join_text(*parts: Column) -> Column:
     """Parts joined by one space; NULL parts are skipped, empty ones are not."""
     return F.concat_ws(" ", *parts)

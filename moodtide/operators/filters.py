@@ -34,23 +34,24 @@ def repair_counts(notes: DataFrame, *names: str) -> DataFrame:
     return notes.withColumns({name: repair_count(F.col(name)) for name in names})
 
 
+def is_valid_note() -> Column:
+    worded = not_blank(F.col("title")) | not_blank(F.col("desc"))
+    return F.col("note_id").isNotNull() & worded & F.col("time").isNotNull()
+
+
+def is_valid_comment() -> Column:
+    known = F.col("note_id").isNotNull() & F.col("comment_id").isNotNull()
+    return known & not_blank(F.col("content")) & F.col("create_time").isNotNull()
+
+
 def valid_notes(notes: DataFrame) -> DataFrame:
     """Notes with an id, a time, and a title or a description that is not blank."""
-    return notes.filter(
-        F.col("note_id").isNotNull()
-        & (not_blank(F.col("title")) | not_blank(F.col("desc")))
-        & F.col("time").isNotNull()
-    )
+    return notes.filter(is_valid_note())
 
 
 def valid_comments(comments: DataFrame) -> DataFrame:
     """Comments with both ids, a time and content that is not blank."""
-    return comments.filter(
-        F.col("note_id").isNotNull()
-        & F.col("comment_id").isNotNull()
-        & not_blank(F.col("content"))
-        & F.col("create_time").isNotNull()
-    )
+    return comments.filter(is_valid_comment())
 
 
 def with_key(df: DataFrame, name: str) -> DataFrame:

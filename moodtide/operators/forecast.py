@@ -6,7 +6,7 @@ before, the previous day's count and deviation, and the calendar.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -30,6 +30,10 @@ TREES = 50
 DEPTH = 10
 SEED = 42
 
+# A forest draws its samples partition by partition: a fixed, sorted layout makes the fit the same on
+# every cluster. Training rows are one per series and day.
+FIT_PARTITIONS = 8
+
 # Steps whose plans are stacked before the state is written and read back.
 STACKED_STEPS = 5
 
@@ -57,20 +61,41 @@ def with_history(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("sentiment_lag_2").isNotNull())
 
 
-def forest_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeline:
+def scaling_stages() -> Pipeline:
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features_raw", handleInvalid="skip"),
             StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-            RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed),
         ]
     )
 
 
-def fit_forest(rows: DataFrame, **settings: int) -> PipelineModel:
+def forest_pipeline(
+    trees: int = TREES, depth: int = DEPTH, seed: int = SEED, bootstrap: bool = True, subset: str = "auto"
+) -> Pipeline:
+    return Pipeline(
+        stages=[
+            *scaling_stages().getStages(),
+            RandomForestRegressor(
+                featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed,
+                bootstrap=bootstrap, featureSubsetStrategy=subset,
+            ),
+        ]
+    )
+
+
+def train_rows(rows: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The training days of all series, in ``partitions`` partitions by series and date, sorted.
+
+    ``partitions`` is part of the model: another number gives another forest. Raise it for very many series.
+    """
+    train = with_history(rows).filter("is_train").repartition(partitions, "series", "date")
+    return train.sortWithinPartitions("series", "date").select("label", *MODEL_FEATURES)
+
+
+def fit_forest(rows: DataFrame, partitions: int = FIT_PARTITIONS, **settings: int) -> PipelineModel:
     """Fit scaler and forest on the training days of all series. ``rows`` should be a stored table."""
-    train = with_history(rows).filter("is_train").select("label", *MODEL_FEATURES)
-    return forest_pipeline(**settings).fit(train)
+    return forest_pipeline(**settings).fit(train_rows(rows, partitions))
 
 
 def predict_test_days(rows: DataFrame, model: PipelineModel) -> DataFrame:
@@ -91,9 +116,11 @@ def forecast_start(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series").agg(F.max_by(state, "date").alias("state")).select("series", "state.*")
 
 
-def forecast(rows: DataFrame, model: PipelineModel, horizon: int = 30) -> DataFrame:
+def forecast(rows: DataFrame, model: Transformer, horizon: int = 30) -> DataFrame:
     """``horizon`` consecutive days after the last one of every series, all series at once.
 
+    ``model`` is anything that adds ``prediction`` to rows with the model features.
+
     Each step is a projection over one row per series and feeds its prediction to the next; the
     predictions collect in an array that is unfolded at the end, so no step is computed twice.
     """

@@ -1,6 +1,6 @@
 """Polarity model: a multinomial naive Bayes fitted and applied as Spark aggregations.
 
-    weight(t) = ln((c1(t)+1) / (N1+V)) - ln((c0(t)+1) / (N0+V))     for tokens seen at least twice
+    weight(t) = ln((c1(t)+1) / (N1+V)) - ln((c0(t)+1) / (N0+V))
     score     = 1 / (1 + exp(-z)),  z = mean weight over the known tokens of a text
 
 A text without known tokens has no score and is classed as unknown.
@@ -8,11 +8,11 @@ A text without known tokens has no score and is classed as unknown.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from moodtide.functions.classes import opinion_class
 from moodtide.functions.numbers import clamp_score
@@ -20,7 +20,6 @@ from moodtide.functions.text import clean_text, tokens
 from moodtide.operators.filters import require_columns
 from moodtide.schemas import NEGATIVE_TO, POSITIVE_FROM
 
-MIN_OCCURRENCES = 2
 LOGIT_LIMIT = 500.0
 
 # A model up to this estimated size is broadcast whole (rows are charged a fixed overhead).
@@ -30,7 +29,6 @@ ROW_OVERHEAD_BYTES = 64
 # Beyond it only the most frequent short tokens are: at most 200,000 rows of at most 64 characters.
 HEAD_ROWS = 200_000
 HEAD_TOKEN_CHARS = 64
-TAIL_SALTS = 16
 
 
 def token_counts(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
@@ -48,8 +46,11 @@ def token_counts(labelled: DataFrame, text_col: str = "text", label_col: str = "
     )
 
 
-def token_weights(counts: DataFrame, min_occurrences: int = MIN_OCCURRENCES) -> DataFrame:
-    """Log-odds weights with add-one smoothing from a token count table."""
+def token_weights(counts: DataFrame, min_occurrences: int = 1) -> DataFrame:
+    """Log-odds weights with add-one smoothing from a token count table.
+
+    ``min_occurrences`` leaves out rarer tokens; by default every token seen in training is known.
+    """
     totals = counts.agg(
         F.struct(
             F.sum("positive").alias("positive"), F.sum("negative").alias("negative"), F.count("token").alias("size")
@@ -71,10 +72,16 @@ def token_weights(counts: DataFrame, min_occurrences: int = MIN_OCCURRENCES) ->
     )
 
 
-def fit_polarity_model(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
-    """Model table (token, weight, occurrences). Store it once; scoring reads it several times."""
+def fit_polarity_model(
+    labelled: DataFrame, text_col: str = "text", label_col: str = "label", min_occurrences: int = 1
+) -> DataFrame:
+    """Model table (token, weight, occurrences). Store it once; scoring reads it several times.
+
+    Tokens rarer than ``min_occurrences`` are left out: above 1 that keeps the table smaller, and
+    makes texts without a more frequent token unknown.
+    """
     require_columns(labelled, [text_col, label_col])
-    return token_weights(token_counts(labelled, text_col, label_col))
+    return token_weights(token_counts(labelled, text_col, label_col), min_occurrences)
 
 
 def fits_broadcast(model: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -88,20 +95,38 @@ def fits_broadcast(model: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def score_of(total: Column, known: Column) -> Column:
     """Logistic of the mean weight; NULL when no token is known (``least``/``greatest`` would skip it)."""
     z = F.greatest(F.lit(-LOGIT_LIMIT), F.least(F.lit(LOGIT_LIMIT), total / known))
-    return F.when(known > 0, 1 / (1 + F.exp(-z)))
+    return F.when((known > 0) & total.isNotNull(), 1 / (1 + F.exp(-z)))
 
 
-def _sums_with_whole_model(pieces: DataFrame, group: Sequence[str], model: DataFrame) -> DataFrame:
-    weights = F.broadcast(model.select(F.col("token").alias("_token"), F.col("weight").alias("_weight")))
-    return (
-        pieces.join(weights, "_token", "left")
-        .groupBy(*group)
-        .agg(
-            F.sum("_weight").alias("_total"),
-            F.count("_weight").alias("_known"),
-            F.count_if("_first").alias("_copies"),
-        )
-    )
+def _score_in_task(df: DataFrame, model: DataFrame, text_col: str) -> DataFrame:
+    """Score and class added in the task that reads the text: no shuffle.
+
+    Spark cuts the text into tokens and hashes them; Arrow batches of hashes are looked up in the
+    sorted hashes of the model, which is measured to fit and travels once to every executor.
+    """
+    found = model.select(F.xxhash64("token").alias("hash"), "weight").toPandas().sort_values("hash")
+    shipped = df.sparkSession.sparkContext.broadcast((found["hash"].to_numpy(np.int64), found["weight"].to_numpy(float)))
+
+    @F.pandas_udf("double")
+    def mean_weight(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes, weights = shipped.value
+        for batch in batches:
+            lengths = np.fromiter((0 if t is None else len(t) for t in batch), np.int64, len(batch))
+            tokens = np.concatenate([t for t in batch if t is not None and len(t)] or [np.empty(0, np.int64)])
+            text = np.repeat(np.arange(len(batch)), lengths)
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+                known = hashes[at] == tokens
+            else:
+                at, known = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
+            counts = np.bincount(text[known], minlength=len(batch))
+            totals = np.bincount(text[known], weights=weights[at[known]] if len(hashes) else None, minlength=len(batch))
+            yield pd.Series(totals / np.where(counts > 0, counts, 1)).where(counts > 0)
+
+    hashed = F.transform(F.array_remove(tokens(F.col(text_col)), ""), lambda t: F.xxhash64(t))
+    mean = mean_weight(hashed)
+    scored = df.withColumn("_mean", mean)
+    return classify(scored.withColumn("sentiment_score", score_of(F.col("_mean"), F.lit(1))).drop("_mean"))
 
 
 def frequent_tokens(model: DataFrame, limit: int) -> DataFrame:
@@ -163,69 +188,98 @@ def _sums_with_split_model(
     )
 
 
-def _scored_groups(
-    df: DataFrame,
-    model: DataFrame,
-    group: Sequence[str],
-    text_col: str,
-    broadcast_limit: int = BROADCAST_BYTES,
-    head_rows: int = HEAD_ROWS,
-    salts: int = TAIL_SALTS,
+def _sums_with_split_model(
+    pieces: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int
 ) -> DataFrame:
-    """One row per group of rows with the same text: score, and how many rows it stands for.
+    """Frequent tokens by broadcast, the rest by a salted shuffle join.
 
-    Copies add to the sum and to the number of tokens alike, so the mean weight is that of one text.
+    After the first join each text holds one row for all its frequent tokens and one per distinct
+    rare token. Rows that need no second join get a wide salt of their own, so neither the NULL key
+    nor a token that is rare in training but common here lands in one task.
     """
-    position = F.coalesce("_position", F.lit(0)) == 0
-    pieces = df.select(
-        *group, F.posexplode_outer(tokens(F.col(text_col))).alias("_position", "_token")
-    ).select(*group, "_token", position.alias("_first"))
-    if fits_broadcast(model, broadcast_limit):
-        sums = _sums_with_whole_model(pieces, group, model)
-    else:
-        sums = _sums_with_split_model(pieces, group, model, head_rows, salts)
-    score = score_of(F.col("_total"), F.col("_known")).alias("sentiment_score")
-    return classify(sums.select(*group, "_copies", score))
+    head = frequent_tokens(model, head_rows)
+    head_weights = F.broadcast(head.select(F.col("token").alias("_token"), F.col("weight").alias("_weight")))
+
+    spread = F.xxhash64(*group)
+    rest = F.when(F.col("_weight").isNull() & (F.col("_token") != ""), F.col("_token"))
+    first = (
+        pieces.join(head_weights, "_token", "left")
+        .groupBy(*group, rest.alias("_rest"))
+        .agg(F.sum("_weight").alias("_total"), F.count("_weight").alias("_known"), F.count("*").alias("_times"))
+        .withColumn("_salt", F.when(F.col("_rest").isNull(), spread).otherwise(F.pmod(spread, F.lit(salts))))
+    )
+    tail = model.select(
+        F.col("token").alias("_rest"),
+        F.col("weight").alias("_rest_weight"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
+    )
+    found = F.col("_rest_weight").isNotNull()
+    return (
+        first.join(tail.hint("merge"), ["_rest", "_salt"], "left")
+        .groupBy(*group)
+        .agg(
+            F.sum(F.when(found, F.col("_rest_weight") * F.col("_times")).otherwise(F.col("_total"))).alias("_total"),
+            F.sum(F.when(found, F.col("_times")).otherwise(F.col("_known"))).alias("_known"),
+        )
+    )
 
 
-def score_records(
-    df: DataFrame, model: DataFrame, key: Sequence[str], keep: Sequence[str] = (), text_col: str = "text", **limits: int
+def _score_by_joins(
+    df: DataFrame, model: DataFrame, key: Sequence[str], text_col: str, head_rows: int, salts: int | None
 ) -> DataFrame:
-    """Score and class per record, without the text: key, kept columns, score, class.
+    """Score and class added by joins, for a model too large to travel whole.
 
-    ``model`` should be a stored table: it is measured first. The tokens of a text are joined with
-    the broadcast model and summed inside the task that read the text, so a single small row per
-    record is shuffled. Repeated keys are kept apart by a hash of the text, and rows that are equal
-    in everything are counted per task and unfolded again: neither can lose rows or fill one task.
+    Copies add to the sum and to the number of tokens alike, so the mean weight of a group is that of
+    one text. Scores are joined back on the key and a hash of the text, NULL-safe.
     """
-    columns = [*key, *keep]
-    require_columns(df, [*columns, text_col])
-    marked = df.select(*columns, text_col, F.xxhash64(text_col).alias("_hash"), F.spark_partition_id().alias("_task"))
-    scored = _scored_groups(marked, model, [*columns, "_hash", "_task"], text_col, **limits)
-    unfolded = scored.select(
-        *columns, "sentiment_score", "sentiment_category", F.explode(F.sequence(F.lit(1), "_copies"))
+    if salts is None:
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = df.withColumn("_hash", F.xxhash64(text_col))
+    group = [*key, "_hash", "_task"]
+    pieces = hashed.withColumn("_task", F.spark_partition_id()).select(
+        *group, F.explode_outer(tokens(F.col(text_col))).alias("_token")
     )
-    return unfolded.select(*columns, "sentiment_score", "sentiment_category")
+    sums = _sums_with_split_model(pieces, group, model, head_rows, salts)
+    scores = sums.select(*group, score_of(F.col("_total"), F.col("_known")).alias("_score"))
+    once = scores.groupBy(*key, "_hash").agg(F.max("_score").alias("sentiment_score"))
+    renamed = once.withColumnsRenamed({name: f"_score_{name}" for name in [*key, "_hash"]})
+    on = F.lit(True)
+    for name in [*key, "_hash"]:
+        on = on & hashed[name].eqNullSafe(renamed[f"_score_{name}"])
+    columns = [hashed[name] for name in df.columns]
+    return classify(hashed.join(renamed, on, "left").select(*columns, "sentiment_score"))
 
 
 def score_text(
-    df: DataFrame, model: DataFrame, key: Sequence[str], text_col: str = "text", **limits: int
+    df: DataFrame,
+    model: DataFrame,
+    key: Sequence[str],
+    text_col: str = "text",
+    broadcast_limit: int = BROADCAST_BYTES,
+    head_rows: int = HEAD_ROWS,
+    salts: int | None = None,
 ) -> DataFrame:
     """All rows and columns of ``df`` with score and class added.
 
-    Scores are joined back on the key and a hash of the text, NULL-safe, so repeated keys neither
-    lose nor multiply rows. The text is shuffled once unless its table is bucketed on the key.
+    ``model`` should be a stored table: it is measured first. Up to ``broadcast_limit`` bytes it is
+    shipped to the executors and each text is scored where it is read. A larger one is joined: the
+    text is then shuffled once, and a rare token is spread over ``salts`` tasks (by default as many as
+    the session has shuffle partitions). Both ways give the same scores.
     """
     require_columns(df, [*key, text_col])
-    hashed = df.withColumn("_hash", F.xxhash64(text_col))
-    group = [*key, "_hash"]
-    scores = _scored_groups(hashed, model, group, text_col, **limits)
-    renamed = scores.withColumnsRenamed({name: f"_score_{name}" for name in group})
-    on = F.lit(True)
-    for name in group:
-        on = on & hashed[name].eqNullSafe(renamed[f"_score_{name}"])
-    columns = [hashed[name] for name in df.columns]
-    return hashed.join(renamed, on, "left").select(*columns, "sentiment_score", "sentiment_category")
+    if fits_broadcast(model, broadcast_limit):
+        return _score_in_task(df, model, text_col)
+    return _score_by_joins(df, model, key, text_col, head_rows, salts)
+
+
+def score_records(
+    df: DataFrame, model: DataFrame, key: Sequence[str], keep: Sequence[str] = (), text_col: str = "text", **limits: int
+) -> DataFrame:
+    """Score and class per record, without the text: key, kept columns, score, class."""
+    columns = [*key, *keep]
+    require_columns(df, [*columns, text_col])
+    scored = score_text(df.select(*dict.fromkeys([*columns, text_col])), model, key, text_col, **limits)
+    return scored.select(*columns, "sentiment_score", "sentiment_category")
 
 
 def classify(df: DataFrame, positive_from: float = POSITIVE_FROM, negative_to: float = NEGATIVE_TO) -> DataFrame:
@@ -233,32 +287,52 @@ def classify(df: DataFrame, positive_from: float = POSITIVE_FROM, negative_to: f
     return df.withColumn("sentiment_category", opinion_class(F.col("sentiment_score"), positive_from, negative_to))
 
 
+def per_text(load_scorer: Callable[[], Callable[[str], float | None]]) -> Callable[[], Callable[[pd.Series], pd.Series]]:
+    """A loader of a batch function from one of a function for single texts; an error gives no score."""
+
+    def load() -> Callable[[pd.Series], pd.Series]:
+        scorer = load_scorer()
+
+        def one(text: str) -> float | None:
+            try:
+                return scorer(text)
+            except Exception:
+                return None
+
+        return lambda texts: texts.map(one)
+
+    return load
+
+
 def score_with(
-    df: DataFrame, load_scorer: Callable[[], Callable[[str], float | None]], text_col: str = "text"
+    df: DataFrame,
+    load_scorer: Callable[[], Callable[[pd.Series], pd.Series]],
+    text_col: str = "text",
+    failures: Observation | None = None,
 ) -> DataFrame:
-    """Score with a caller's own function, in Arrow batches.
+    """Score with a caller's own function over Arrow batches of texts.
 
-    ``load_scorer`` runs once per task and returns the function; blank texts are not passed to it,
-    and an error or a result that is not a float gives no score. The text is cleaned by Spark first.
+    ``load_scorer`` runs once per task and returns a function from a series of texts to one of
+    scores, in the same order (``per_text`` makes one from a function for single texts). Blank texts
+    are not passed to it. A result that is not a float gives no score; ``failures`` counts those
+    (column ``failed``). An error of the batch function ends the task. The text is cleaned by Spark.
     """
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load_scorer()
-
-        def one(text: str | None) -> float | None:
-            if not text:
-                return None
-            try:
-                value = scorer(text)
-            except Exception:
-                return None
-            if not isinstance(value, float):
-                return None
-            return 0.0 if math.isnan(value) else value  # Arrow would turn NaN into NULL
-
         for texts in batches:
-            yield texts.map(one).astype("float64")
+            asked = texts.notna() & (texts != "")
+            found = scorer(texts[asked])
+            floats = pd.Series([v if isinstance(v, float) else None for v in found], index=found.index, dtype=object)
+            # A scorer's own NaN is the lowest score; Arrow would turn it into NULL.
+            numbers = [None if v is None else 0.0 if v != v else float(v) for v in floats]
+            yield pd.Series(numbers, index=found.index, dtype="float64").reindex(texts.index)
 
     require_columns(df, [text_col])
-    return classify(df.withColumn("sentiment_score", clamp_score(scores(clean_text(F.col(text_col))))))
+    cleaned = df.withColumn("_clean", clean_text(F.col(text_col)))
+    scored = cleaned.withColumn("sentiment_score", clamp_score(scores("_clean")))
+    if failures is not None:
+        asked = F.coalesce(F.col("_clean") != "", F.lit(False))
+        scored = scored.observe(failures, F.count_if(asked & F.col("sentiment_score").isNull()).alias("failed"))
+    return classify(scored.drop("_clean"))

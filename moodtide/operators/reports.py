@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from moodtide.functions.dates import day_string, parse_day
 from moodtide.functions.numbers import epoch_seconds
@@ -23,12 +23,12 @@ SCORE = "sentiment_score"
 # Counts by class.
 
 
-def class_distribution(scored: DataFrame) -> DataFrame:
-    """Rows and mean score per class, largest first; the mean of unknown is NULL."""
+def class_distribution(scored: DataFrame, *keys: str) -> DataFrame:
+    """Rows and mean score per class (and key), largest first; the mean of unknown is NULL."""
     return (
-        scored.groupBy(CLASS)
+        scored.groupBy(*keys, CLASS)
         .agg(F.count("*").alias("count"), F.avg(SCORE).alias("avg_score"))
-        .orderBy(F.desc("count"), CLASS)
+        .orderBy(*keys, F.desc("count"), CLASS)
     )
 
 
@@ -176,6 +176,16 @@ def row_counts(**tables: DataFrame) -> DataFrame:
     return result
 
 
+def counts_with_valid(name: str, df: DataFrame, valid: Column) -> DataFrame:
+    """Rows of a table and of its valid part, as two rows, from one scan."""
+    counts = df.agg(F.count("*").alias("all"), F.count_if(valid).alias("valid"))
+    pair = F.array(
+        F.struct(F.lit(name).alias("name"), F.col("all").alias("rows")),
+        F.struct(F.lit(f"valid_{name}").alias("name"), F.col("valid").alias("rows")),
+    )
+    return counts.select(F.inline(pair))
+
+
 def counting(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as a by-product of whatever action runs on the returned frame."""
     observation = Observation(name)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from moodtide.operators.filters import repair_counts, require_columns, valid_comments, valid_notes
-from moodtide.operators.polarity import score_records
+from moodtide.operators.polarity import score_text
 from moodtide.operators.records import text_union
 from moodtide.operators.reports import (
     class_by_day,
@@ -13,16 +13,16 @@ from moodtide.operators.reports import (
     class_distribution,
     comments_per_day,
     note_comment_stats,
-    sample_rows,
     tag_frequency,
     top_rows,
 )
 from moodtide.plans.trend import forecast_trend
 from moodtide.schemas import COMMENTS, DETAIL_SAMPLE_ROWS, NOTES, REPORTS, TOP_LOCATION_ROWS, TOP_TAG_ROWS
-from moodtide.sources.writers import write_report, write_table
+from moodtide.sources.writers import write_report, write_sample, write_table
 from moodtide.storage import store
 
 KEY = ["type", "id"]
+DETAIL_ORDER = [*KEY, "create_time", "text"]
 
 
 def clean_tables(notes: DataFrame, comments: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,8 +57,9 @@ def analyse_notes(
 
     write_report(note_comment_stats(clean_notes, clean_comments), f"{folder}/note_comment_stats")
     write_report(comments_per_day(clean_comments, zone), f"{folder}/comment_daily_distribution")
-    tags = tag_frequency(clean_notes).limit(TOP_TAG_ROWS)
-    write_report(tags, f"{folder}/top_tags_for_wordcloud")
+    tags = store(tag_frequency(clean_notes), "tags")
+    write_report(tags, f"{folder}/tag_frequency")
+    write_report(top_rows(tags, TOP_TAG_ROWS, "tag_count", "tag"), f"{folder}/top_tags_for_wordcloud")
 
     texts = text_union(clean_notes, clean_comments)
     if not texts.isEmpty():
@@ -69,7 +70,7 @@ def analyse_notes(
 def _scored_reports(
     texts: DataFrame, model: DataFrame, folder: str, horizon: int, test_size: float, zone: str | None
 ) -> None:
-    scored = score_records(texts, model, key=KEY, keep=["note_id", "create_time", "ip_location"])
+    scored = score_text(texts, model, key=KEY)
     write_table(scored, f"{folder}/scored", "sentiment_category")
     scored = texts.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
 
@@ -80,10 +81,9 @@ def _scored_reports(
     largest = top_rows(by_location, TOP_LOCATION_ROWS, "count", "ip_location", "sentiment_category")
     write_report(largest, f"{folder}/combined_sentiment_by_location_sample")
 
-    first = sample_rows(scored, DETAIL_SAMPLE_ROWS, *KEY)
-    with_text = texts.select(*KEY, "text").join(F.broadcast(first), KEY)
-    details = with_text.select(REPORTS["combined_sentiment_sample_details"].names)
-    write_report(details.orderBy(*KEY), f"{folder}/combined_sentiment_sample_details")
+    # The sample is taken from the scored rows themselves: ids need not be unique.
+    details = scored.select(REPORTS["combined_sentiment_sample_details"].names)
+    write_sample(details, f"{folder}/combined_sentiment_sample_details", DETAIL_SAMPLE_ROWS, *DETAIL_ORDER)
 
     trend = forecast_trend(scored, None, horizon, test_size, zone)
     write_report(trend.future.orderBy("series", "date"), f"{folder}/sentiment_trend_predictions")

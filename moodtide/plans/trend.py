@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from moodtide.operators.forecast import fit_forest, forecast, model_rows, predict_test_days, with_history
 from moodtide.operators.series import daily_series, forecast_quality
 from moodtide.schemas import REPORTS
-from moodtide.storage import spread_scan, store
+from moodtide.storage import store
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ def stored_model_rows(
 ) -> DataFrame:
     """Daily rows written once: every tree level reads them, and the scored records only here."""
     daily = daily_series(scored, series, zone)
-    return spread_scan(store(model_rows(daily, test_size), "daily"), "series", "date")
+    return store(model_rows(daily, test_size), "daily")
 
 
 def forecast_trend(

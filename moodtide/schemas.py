@@ -11,6 +11,10 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 _S, _L, _D, _I = T.StringType(), T.LongType(), T.DoubleType(), T.IntegerType()
 
+# CSV: how a NULL is written, and the texts that have to be told apart from it.
+NULL_MARK = "\\N"
+NULL_LIKE = r"^\\+N$"
+
 # Inputs.
 POSTS = _struct(id=_S, timestamp=T.TimestampType(), user_id=_S, text=_S, platform=_S)
 NOTES = _struct(
@@ -40,6 +44,8 @@ REPORTS = {
         id=_S, note_id=_S, type=_S, text=_S, sentiment_score=_D, sentiment_category=_S, create_time=_L,
         ip_location=_S,
     ),
+    "combined_sentiment_by_location": _struct(ip_location=_S, sentiment_category=_S, count=_L),
+    "tag_frequency": _struct(tag=_S, tag_count=_L),
     "top_tags_for_wordcloud": _struct(tag=_S, tag_count=_L),
     "sentiment_trend_predictions": _struct(series=_S, date=_S, predicted_sentiment=_D),
     "sentiment_trend_evaluation": _struct(rmse=_D, mae=_D, r2=_D, rows=_L),

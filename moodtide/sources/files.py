@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
-from moodtide.schemas import POSTS, REPORTS
+from moodtide.schemas import NULL_LIKE, NULL_MARK, POSTS, REPORTS
 
-# An empty field is NULL, a quoted empty field an empty text: the NULL marker must not be the empty text.
-NULL_MARK = "\\N"
 # Spark's name for the error of a path that does not exist.
 MISSING_PATH = "PATH_NOT_FOUND"
 
@@ -25,7 +23,15 @@ def read_csv(
     reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("nullValue", NULL_MARK).schema(schema).csv(path)
+    # An empty field is NULL like the marker, a quoted empty field an empty text.
+    return unmarked_nulls(reader.option("nullValue", NULL_MARK).schema(schema).csv(path))
+
+
+def unmarked_nulls(df: DataFrame) -> DataFrame:
+    """Undo what the writer does to texts that look like the NULL marker."""
+    strings = [field.name for field in df.schema if field.dataType == StringType()]
+    plain = lambda c: F.when(c.rlike(NULL_LIKE), F.substring(c, F.lit(2), F.length(c))).otherwise(c)
+    return df.withColumns({name: plain(F.col(name)) for name in strings})
 
 
 def read_posts(

@@ -15,6 +15,8 @@ URL_FORM = "jdbc:mysql://{host}:{port}/{database}"
 REQUIRED_SETTINGS = ("host", "database", "user", "password")
 DEFAULT_SECTION = "mysql_db"
 FETCH_ROWS = 10_000
+# This driver holds the whole result in memory unless it is told to use a cursor.
+CURSOR_FETCH = {"com.mysql.jdbc.Driver": "useCursorFetch", "com.mysql.cj.jdbc.Driver": "useCursorFetch"}
 
 NO_DRIVER_SIGNS = ("No suitable driver", "ClassNotFoundException")
 
@@ -44,7 +46,18 @@ def connection(settings: Mapping[str, str | None], driver: str = DEFAULT_DRIVER)
     url = URL_FORM.format(
         host=settings["host"], port=settings.get("port") or DEFAULT_PORT, database=settings["database"]
     )
-    return url, {"user": settings["user"], "password": settings["password"], "driver": driver}
+    properties = {"user": settings["user"], "password": settings["password"], "driver": driver}
+    if driver in CURSOR_FETCH:
+        properties[CURSOR_FETCH[driver]] = "true"
+    return url, properties
+
+
+def hash_predicates(column: str, partitions: int, hash_function: str = "CRC32") -> list[str]:
+    """Predicates that deal the rows by a text key, each row once; rows without a key go with the first part."""
+    if partitions < 1:
+        raise ValueError("at least one partition is needed")
+    parts = [f"MOD({hash_function}({column}), {partitions}) = {i}" for i in range(partitions)]
+    return [f"({parts[0]} OR {column} IS NULL)", *parts[1:]]
 
 
 def settings_from_ini(path: str, section: str = DEFAULT_SECTION) -> dict[str, str]:
@@ -79,11 +92,15 @@ def read_table(
     split: KeyRange | None = None,
     predicates: list[str] | None = None,
     fetch_rows: int = FETCH_ROWS,
+    whole_table: bool = False,
 ) -> DataFrame:
-    """A whole table: one partition by default, a key range or one partition per predicate otherwise.
+    """A table in parallel parts: by a key range, or one part per predicate (``hash_predicates`` for text keys).
 
-    Predicates serve text keys; they must cover every row once, the NULL key included.
+    Predicates must cover every row once, the NULL key included. A table read in one piece, by a
+    single task, has to be asked for with ``whole_table``.
     """
+    if split is None and predicates is None and not whole_table:
+        raise ValueError(f"reading {table} in one task needs whole_table=True; else name a key range or predicates")
     try:
         if predicates is not None:
             with_fetch = {**properties, "fetchsize": str(fetch_rows)}

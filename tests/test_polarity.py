@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from moodtide.operators import polarity
 from moodtide.storage import store
@@ -36,11 +36,7 @@ def brute_model(rows):
         counts[label].update(tokens_of(text))
     vocabulary = set(counts[0]) | set(counts[1])
     n0, n1, v = sum(counts[0].values()), sum(counts[1].values()), len(vocabulary)
-    return {
-        t: math.log((counts[1][t] + 1) / (n1 + v)) - math.log((counts[0][t] + 1) / (n0 + v))
-        for t in vocabulary
-        if counts[0][t] + counts[1][t] >= 2
-    }
+    return {t: math.log((counts[1][t] + 1) / (n1 + v)) - math.log((counts[0][t] + 1) / (n0 + v)) for t in vocabulary}
 
 
 def brute_score(text, model):
@@ -65,6 +61,11 @@ def test_model_equals_brute_force(model):
     assert all(math.isclose(got[t], expected[t], abs_tol=1e-12) for t in got)
 
 
+def test_rare_tokens_are_left_out_on_request(texts, model):
+    kept = polarity.fit_polarity_model(texts, min_occurrences=2)
+    assert values(kept, "token") == values(model.filter("occurrences >= 2"), "token")
+
+
 def test_labels_other_than_zero_and_one_are_ignored(spark, texts, model):
     extra = spark.createDataFrame([(900, "good good bad", None), (901, "bad", 5)], "id long, text string, label int")
     refitted = polarity.fit_polarity_model(texts.union(extra))
@@ -130,10 +131,21 @@ def test_kept_columns_travel_with_the_key(texts, model):
 def test_model_size_decides_the_join(texts, model):
     assert polarity.fits_broadcast(model) and not polarity.fits_broadcast(model, 0)
     whole = plan_of(polarity.score_records(texts, model, key=["id"]))
-    assert "BroadcastHashJoin" in whole and "SortMergeJoin" not in whole
+    assert "ArrowEvalPython" in whole and "Exchange" not in whole and "Join" not in whole
     split = plan_of(polarity.score_records(texts, model, key=["id"], broadcast_limit=0))
-    assert "SortMergeJoin" in split
-    assert "BatchEvalPython" not in whole + split and "ArrowEvalPython" not in whole + split
+    assert "SortMergeJoin" in split and "EvalPython" not in split
+
+
+def test_scoring_shuffles_neither_texts_nor_records(texts, model):
+    scored = plan_of(polarity.score_text(texts, model, key=["id"]))
+    assert "Exchange" not in scored and "Sort" not in scored and "BatchEvalPython" not in scored
+    assert scored.count("Scan") == plan_of(texts).count("Scan")
+
+
+def test_model_without_tokens(spark):
+    none = spark.createDataFrame([], "token string, weight double, occurrences long")
+    df = spark.createDataFrame([("a", "good"), ("b", None)], "id string, text string")
+    assert {r["sentiment_category"] for r in polarity.score_text(df, none, key=["id"]).collect()} == {"unknown"}
 
 
 def test_token_in_a_third_of_all_rows_in_the_rare_part(spark, model):
@@ -155,14 +167,23 @@ def test_plugged_in_scorer(spark):
 
         return scorer
 
-    rows = [("这是一个好消息",), ("",), (None,), ("@only_a_name",), ("boom",), ("int",), ("nan",), ("big",), ("low",)]
+    rows = [("今天的天气不错",), ("",), (None,), ("@only_a_name",), ("boom",), ("int",), ("nan",), ("big",), ("low",)]
     df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "id int, text string")
-    got = [tuple(r) for r in polarity.score_with(df, load).orderBy("id").select("sentiment_score", "sentiment_category").collect()]
+    failures = Observation("failures")
+    scored = polarity.score_with(df, polarity.per_text(load), failures=failures)
+    got = [tuple(r[1:]) for r in sorted(scored.select("id", "sentiment_score", "sentiment_category").collect())]
     unknown = (None, "unknown")
     assert got == [
         (0.5, "neutral"), unknown, unknown, unknown, unknown, unknown,
         (0.0, "negative"), (1.0, "positive"), (0.0, "negative"),
     ]
+    assert failures.get["failed"] == 2
+
+
+def test_plugged_in_batch_scorer(spark):
+    df = spark.createDataFrame([(0, "abc"), (1, None), (2, "b")], "id int, text string")
+    scored = polarity.score_with(df, lambda: lambda texts: texts.str.len() / 4.0)
+    assert values(scored, "id", "sentiment_score") == [(0, 0.75), (1, None), (2, 0.25)]
 
 
 @pytest.mark.parametrize("limit", [0, 1, 3, 10, 10**6])

@@ -152,6 +152,12 @@ def test_same_seed_same_forecast(rows, model):
     assert values(again) == values(forecast.forecast(rows, model, 3))
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_layout_of_the_rows_does_not_matter(rows, model, partitions):
+    again = forecast.fit_forest(rows.repartition(partitions, "date"), trees=5)
+    assert values(forecast.forecast(rows, again, 3)) == values(forecast.forecast(rows, model, 3))
+
+
 def test_forecast_dates(spark):
     few = spark.createDataFrame([("s", 0.2 + i / 100, 1748736000 - (9 - i) * DAY) for i in range(10)], "k string, sentiment_score double, create_time long")
     trend = forecast_trend(few, horizon=3)

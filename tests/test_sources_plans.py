@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from moodtide.operators.polarity import fit_polarity_model
 from moodtide.plans.notes import analyse_notes, clean_tables
@@ -9,7 +10,7 @@ from moodtide.plans.posts import analyse_posts
 from moodtide.schemas import COMMENTS, NOTES, POSTS, REPORTS
 from moodtide.sources import files, jdbc, views, writers
 from moodtide.operators import reports
-from moodtide.storage import SHARED_FOLDER, shared_folder, spread_scan, store
+from moodtide.storage import SHARED_FOLDER, shared_folder, store
 from tests.conftest import plan_of, values
 
 NOON = datetime.datetime(2025, 6, 1, 12, 0, 0)
@@ -19,6 +20,9 @@ POST_ROWS = [
     ("p3", None, "u3", "", "zh"),
     ("p4", NOON, "", None, None),
     ("p5", NOON, "u5", "back\\slash", "dy"),
+    ("p6", NOON, "  lead", "trail  ", "tab\t"),
+    ("p7", NOON, "\\N", "\\\\N", " \\N"),
+    (None, None, None, None, None),
 ]
 
 
@@ -70,6 +74,7 @@ SETTINGS = {"host": "h", "database": "d", "user": "u", "password": "p"}
 def test_connection():
     url, properties = jdbc.connection(SETTINGS)
     assert url == "jdbc:mysql://h:3306/d" and properties["user"] == "u" and properties["driver"] == jdbc.DEFAULT_DRIVER
+    assert properties["useCursorFetch"] == "true"
     assert jdbc.connection({**SETTINGS, "port": "99"}, driver="x.Y") == (
         "jdbc:mysql://h:99/d", {"user": "u", "password": "p", "driver": "x.Y"},
     )
@@ -101,7 +106,26 @@ def test_read_options():
 @pytest.mark.parametrize("predicates", [None, ["a = 1", "a <> 1 OR a IS NULL"]])
 def test_missing_driver_is_named(spark, predicates):
     with pytest.raises(jdbc.DriverMissing, match="no.such.Driver"):
-        jdbc.read_table(spark, "t", "jdbc:none://h/d", {"driver": "no.such.Driver"}, predicates=predicates)
+        jdbc.read_table(
+            spark, "t", "jdbc:none://h/d", {"driver": "no.such.Driver"}, predicates=predicates, whole_table=True
+        )
+
+
+def test_a_whole_table_has_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="whole_table"):
+        jdbc.read_table(spark, "t", "jdbc:none://h/d", {"driver": "no.such.Driver"})
+
+
+def test_hash_predicates():
+    assert jdbc.hash_predicates("k", 2) == ["(MOD(CRC32(k), 2) = 0 OR k IS NULL)", "MOD(CRC32(k), 2) = 1"]
+    with pytest.raises(ValueError):
+        jdbc.hash_predicates("k", 0)
+
+
+def test_hash_predicates_deal_every_row_once(spark):
+    rows = spark.createDataFrame([(f"n{i}",) for i in range(50)] + [(None,), (None,)], "k string")
+    parts = [rows.filter(p) for p in jdbc.hash_predicates("k", 4)]
+    assert sum(part.count() for part in parts) == 52 and values(parts[0].filter("k IS NULL")) == [(None,), (None,)]
 
 
 NOTE_ROWS = [
@@ -154,7 +178,8 @@ def test_notes_flow(spark, tables, model, tmp_path):
     assert read["combined_sentiment_sample_details"].count() == 15
     assert total("combined_sentiment_by_location_sample") == 13
     assert read["comment_daily_distribution"].agg(F.sum("num_comments")).first()[0] == 12
-    assert values(read["top_tags_for_wordcloud"]) == [("food", 2), ("travel", 1)]
+    assert values(read["top_tags_for_wordcloud"]) == values(read["tag_frequency"]) == [("food", 2), ("travel", 1)]
+    assert total("combined_sentiment_by_location") == 13
     assert read["sentiment_trend_predictions"].count() == 3
     assert read["sentiment_trend_evaluation"].count() == 1
 
@@ -192,11 +217,34 @@ def test_posts_flow(spark, model, tmp_path):
     assert full.columns == [*POSTS.names, "sentiment_score", "sentiment_category"] and full.count() == 30
 
 
-def test_spread_only_small_scans(spark, folder):
-    scan = spark.read.parquet(f"{folder}/documents.parquet")
-    assert spread_scan(scan, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
-    assert spread_scan(many) is many
+def test_details_with_repeated_ids_keep_their_own_scores(spark, model, tmp_path):
+    notes = spark.createDataFrame([("n1", "good", "", 1748736000000 + i, "1", "1", "bj", "") for i in range(3)], NOTES)
+    rows = [("c1", "n1", text, 1748736000000, "bj") for text in ("good", "bad", "bad bad", "zzz", " \\N good ")]
+    assert analyse_notes(notes, spark.createDataFrame(rows, COMMENTS), model, str(tmp_path))
+    read, _ = files.read_reports(spark, str(tmp_path))
+    details = read["combined_sentiment_sample_details"].collect()
+    assert len(details) == 8
+    kinds = {(r["text"], r["sentiment_category"]) for r in details}
+    assert kinds == {
+        ("good", "positive"), ("good ", "positive"), ("bad", "negative"), ("bad bad", "negative"), ("zzz", "unknown"),
+        (" \\N good ", "positive"),
+    }
+
+
+def test_reports_are_cut_into_files(spark, tmp_path):
+    path = tmp_path / "cut"
+    writers.write_report(spark.range(0, 25, 1, 1).select(F.col("id").cast("string").alias("id")), str(path), file_rows=10)
+    assert len(list(path.glob("*.csv"))) == 3 and files.read_csv(spark, str(path), _one_string()).count() == 25
+
+
+def test_a_column_of_nulls_comes_back(spark, tmp_path):
+    rows = spark.createDataFrame([(None,), ("",), ("\\N",), ("a",)], _one_string())
+    writers.write_report(rows, str(tmp_path / "n"))
+    assert values(files.read_csv(spark, str(tmp_path / "n"), _one_string(), multi_line=True)) == values(rows)
+
+
+def _one_string():
+    return StructType([StructField("id", StringType())])
 
 
 def test_shared_folder_is_the_session_setting(spark):
