@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from moodtide.storage import store
+
 SHINGLE_WORDS = 5
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -26,6 +28,42 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(text_of(text))
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """doc_id, _row and the whole row as one column: joins then meet no other column names."""
+    names = [F.col(f"`{name}`") for name in documents.columns]
+    return documents.select("doc_id", row_key().alias("_row"), F.struct(*names).alias("_document"))
+
+
+def without_rows(documents: DataFrame, keys: DataFrame, limit: int = 32 * 1024 * 1024) -> DataFrame:
+    """The documents whose (doc_id, _row) is not in ``keys``, a stored table.
+
+    ``keys`` are broadcast where they are measured to fit, so that the documents are not shuffled.
+    """
+    named = keys.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_hash"))
+    here = F.broadcast(named) if measured_bytes(keys, F.lit(32)) <= limit else named
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
+    return packed(documents).join(here, same, "left_anti").select("_document.*")
+
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"
+
+
+def store_texts(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that Python makes out of whole texts, with fewer rows to an Arrow batch meanwhile:
+    the default of 10,000 texts would take more memory than the work on them."""
+    spark = df.sparkSession
+    before = spark.conf.get(ARROW_ROWS, None)
+    spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+    try:
+        return store(df, name)
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_ROWS)
+        else:
+            spark.conf.set(ARROW_ROWS, before)
+
+
 def bounded_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:

@@ -8,7 +8,7 @@ they occur, sum of the smaller weights over sum of the larger ones.
    position p, item position q) put the window at p - q; where an insertion or deletion leaves
    several such places, every place between neighbouring ones is taken too. A window left of the
    first place gains by moving right, one right of the last by moving left, so no better window is
-   left out. Windows are cut off at the ends of the document.
+   left out. Windows at the ends are moved inside; a document shorter than the item is one window.
 2. SimHash. Windows with equal content are one window, however many documents hold it. Each
    shingle adds its occurrence to 64 bit counts; the fingerprint holds the majorities.
 3. Multi-index. Fingerprints are cut into ``BLOCKS`` blocks. Two that differ in at most ``RADIUS``
@@ -30,7 +30,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from moodtide.llm.common import SHINGLE_WORDS, measured_bytes, row_key, text_of, words
+from moodtide.llm.common import SHINGLE_WORDS, measured_bytes, row_key, text_of, without_rows, words
 from moodtide.storage import store
 
 SIMILARITY = 0.8
@@ -92,10 +92,10 @@ def window_contents(documents: DataFrame, places: DataFrame) -> DataFrame:
     found = texts.join(here, texts["doc_id"].eqNullSafe(here["_doc"]) & (texts["_row"] == here["_hash"]))
     once = found.select("doc_id", "_row", "_places", shingles(text_of("text")).alias("_runs"))
     windows = once.select("doc_id", "_row", "_runs", F.inline("_places"))
-    first = F.greatest(F.col("_start"), F.lit(0))
-    runs = F.least(F.col("_start") + F.col("_size") - SHINGLE_WORDS + 1, F.size("_runs")) - first
-    return windows.filter(runs > 0).select(
-        "doc_id", "_row", "_size", first.alias("_start"), F.slice("_runs", first + 1, runs).alias("_window")
+    wanted = F.col("_size") - SHINGLE_WORDS + 1
+    first = F.greatest(F.least(F.col("_start"), F.size("_runs") - wanted), F.lit(0))
+    return windows.select(
+        "doc_id", "_row", "_size", first.alias("_start"), F.slice("_runs", first + 1, wanted).alias("_window")
     )
 
 
@@ -191,8 +191,5 @@ def window_similarity(pairs: DataFrame, windows: DataFrame, items: DataFrame) ->
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates."""
-    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("__bad_doc"), F.col("_row").alias("__bad_row")).distinct()
-    bad = store(bad, "contaminated")
-    here = broadcast_if_small(bad, F.lit(32))
-    same = documents["doc_id"].eqNullSafe(here["__bad_doc"]) & (row_key() == here["__bad_row"])
-    return documents.join(here, same, "left_anti")
+    bad = contaminated(documents, benchmark).select("doc_id", "_row").distinct()
+    return without_rows(documents, store(bad, "contaminated"))

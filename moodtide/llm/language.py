@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.llm.common import bounded_slices, measured_bytes, row_key, text_of
+from moodtide.llm.common import bounded_slices, measured_bytes, row_key, store_texts, text_of, without_rows
 from moodtide.storage import store
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -218,7 +218,7 @@ def identify(records: DataFrame, model: np.ndarray, languages: Sequence[str] = L
     """
     names = [*languages, UNKNOWN]
     classes = len(names)
-    rows = store(text_likelihoods(records, model), "text_likelihoods")
+    rows = store_texts(text_likelihoods(records, model), "text_likelihoods")
     fused = rows
     for name in ("declared", "suffix"):
         fused = joined(fused, value_likelihoods(rows, name, classes), name)
@@ -252,11 +252,7 @@ def identify(records: DataFrame, model: np.ndarray, languages: Sequence[str] = L
 
 def accepted_documents(documents: DataFrame) -> DataFrame:
     """The documents whose language is one of ours with a posterior of at least the threshold."""
-    records = document_records(documents).withColumn("row", row_key())
+    records = document_records(documents).withColumn("_row", row_key())
     model = fit_text_model(records.select("declared", "text"))
     rejected = identify(records.drop("page_id"), model).filter(~F.col("accepted"))
-    rejected = store(rejected.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).distinct(), "rejected")
-    small = measured_bytes(rejected, F.lit(32)) <= BROADCAST_BYTES
-    out = F.broadcast(rejected) if small else rejected
-    same = documents["doc_id"].eqNullSafe(out["__doc"]) & (row_key() == out["__row"])
-    return documents.join(out, same, "left_anti")
+    return without_rows(documents, store(rejected.select("doc_id", "_row").distinct(), "rejected"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.llm.common import measured_bytes, row_key, text_of
+from moodtide.llm.common import measured_bytes, packed, row_key, text_of
 from moodtide.storage import store
 
 DEPTH = 3
@@ -112,20 +112,20 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
 
 def without_recurring_lines(documents: DataFrame) -> DataFrame:
     """All rows and columns of ``documents``, the text without its dropped lines, and the numbers of lines
-    and of dropped lines (n_lines, n_dropped)."""
+    and of dropped lines (n_lines, n_dropped; columns of these names are replaced)."""
     dropped = store(dropped_lines(documents.select("doc_id", "text")), "dropped_lines")
-    per_text = dropped.groupBy("doc_id", "_row").agg(F.collect_set("_line").alias("__gone"))
-    per_text = store(per_text.select(F.col("doc_id").alias("__doc"), F.col("_row").alias("__row"), "__gone"), "dropped_by_text")
-    small = measured_bytes(per_text, F.size("__gone") * 4 + 48) <= BROADCAST_BYTES
+    per_text = dropped.groupBy("doc_id", "_row").agg(F.collect_set("_line").alias("_gone"))
+    per_text = store(per_text.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_hash"), "_gone"), "dropped_by_text")
+    small = measured_bytes(per_text, F.size("_gone") * 4 + 48) <= BROADCAST_BYTES
     here = F.broadcast(per_text) if small else per_text
-    same = documents["doc_id"].eqNullSafe(here["__doc"]) & (row_key() == here["__row"])
-    lines = F.split(text_of("text"), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("__gone", i))
-    gone = F.col("__gone")
-    changed = documents.join(here, same, "left").select(
-        *(documents[name] for name in documents.columns if name != "text"),
-        F.when(gone.isNull(), documents["text"]).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.when(F.length(text_of("text")) > 0, F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
+    text = F.col("_document.text")
+    split = F.split(text_of(text), "\n")
+    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
+    others = [F.col(f"_document.`{name}`") for name in documents.columns if name not in ("text", "n_lines", "n_dropped")]
+    return packed(documents).join(here, same, "left").select(
+        *others,
+        F.when(F.col("_gone").isNull(), text).otherwise(kept).alias("text"),
+        F.when(F.length(text_of(text)) > 0, F.size(split)).otherwise(0).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
-    return changed

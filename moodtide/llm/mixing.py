@@ -26,7 +26,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from moodtide.llm.common import row_key
+from moodtide.llm.common import packed, row_key
 from moodtide.storage import store
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -192,8 +192,7 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     rates = counts.join(tilts, "source_no").withColumn("rate", rate)
     plan = store(whole_copies(rates.select("source_no", "size", "docs", "rate")), "copies")
     small = sources.count() <= BROADCAST_ROWS
-    numbers = named.withColumnRenamed("_source", "_source")
-    placed = sized.join(F.broadcast(numbers) if small else numbers, numbered).drop("_source")
+    placed = sized.join(F.broadcast(named) if small else named, numbered).drop("_source")
     dealt = deal_copies(placed, plan)
     extras = sources.select("source_no", "source_size", "target")
     return dealt.join(F.broadcast(extras) if small else extras, "source_no").select(
@@ -205,9 +204,10 @@ def mixed_documents(documents: DataFrame, weights: Sequence[int] = WEIGHTS, shar
     """The rows of the mix: every document as often as it has copies."""
     key = ["doc_id", "source", "_row"]
     decided = mix(documents, weights, share).filter("copies > 0").groupBy(*key).agg(F.first("copies").alias("_copies"))
-    decided = decided.select(*(F.col(name).alias(f"_{name}_") for name in key), "_copies")
-    on = row_key().eqNullSafe(F.col("__row_"))
-    for name in ("doc_id", "source"):
-        on = on & documents[name].eqNullSafe(F.col(f"_{name}_"))
-    taken = documents.join(decided, on).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return taken.select(*documents.columns)
+    named = decided.select(*(F.col(name).alias(f"_{name}_") for name in key), "_copies")
+    rows = packed(documents).withColumn("source", F.col("_document.source"))
+    on = F.lit(True)
+    for name in key:
+        on = on & F.col(name).eqNullSafe(F.col(f"_{name}_"))
+    taken = rows.join(named, on).select("_document", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    return taken.select("_document.*")

@@ -42,7 +42,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from moodtide.llm.common import SHINGLE_WORDS, measured_bytes, row_key, text_of, words
+from moodtide.llm.common import SHINGLE_WORDS, measured_bytes, packed, row_key, text_of, without_rows, words
 from moodtide.storage import store
 
 SIMILARITY = 0.8
@@ -50,8 +50,8 @@ BANDS, ROWS = 12, 4
 TABLE_BITS = 16
 SEED = 20240229
 # Characters of text per chunk, and per partition of shingle hashes.
-CHUNK_CHARS = 4_000_000
-PART_CHARS = 25_000_000
+CHUNK_CHARS = 3_000_000
+PART_CHARS = 10_000_000
 LOW_BITS = 40
 SMALL = 24
 BLOCK_ROWS = 64
@@ -535,13 +535,11 @@ def one_of_each_group(documents: DataFrame, limit: float = SIMILARITY) -> DataFr
     dropped = store(keyed.join(small_broadcast(first, 40), "_group").filter(other).select("doc_id", "_row"), "dropped_rows")
     repeated = store(keyed.filter("n > 1").select("doc_id", "_row"), "repeated_rows")
 
-    def among(keys: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-        named = keys.select(F.col("doc_id").alias("__doc"), F.col("_row").alias("__row"))
-        same = rows["doc_id"].eqNullSafe(F.col("__doc")) & (row_key() == F.col("__row"))
-        return rows.join(small_broadcast(named, 32), same, how)
-
-    kept = among(dropped, documents, "left_anti")
+    kept = without_rows(documents, dropped)
     if repeated.isEmpty():
         return kept
-    once = among(repeated, kept, "left_semi").withColumn("__row", row_key()).dropDuplicates(["doc_id", "__row"])
-    return among(repeated, kept, "left_anti").unionByName(once.drop("__row"))
+    # Of rows equal in id and text, one each.
+    named = small_broadcast(repeated.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_hash")), 32)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
+    once = packed(kept).join(named, same, "left_semi").dropDuplicates(["doc_id", "_row"]).select("_document.*")
+    return without_rows(kept, repeated).unionByName(once)

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.llm.common import bounded_slices, text_of
+from moodtide.llm.common import bounded_slices, store_texts, text_of
 from moodtide.storage import store
 
 FEATURES = 256
@@ -143,7 +143,7 @@ def document_statistics(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], rows.cast(pa.list_(pa.float64()))], names=["doc_id", "x"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return store(rows.mapInArrow(measure, "doc_id long, x array<double>"), "document_statistics")
+    return store_texts(rows.mapInArrow(measure, "doc_id long, x array<double>"), "document_statistics")
 
 
 def stacked(column: pd.Series) -> np.ndarray:

@@ -57,9 +57,9 @@ WITH tokens AS (
   FROM held h JOIN item_runs i USING (run), range(-6, 7) shift(d)
 ), docs AS (SELECT doc_id, text, count(*) AS runs FROM doc_runs GROUP BY ALL
 ), placed AS (
-  SELECT DISTINCT n.doc_id, n.text, item_id, item, n, greatest(s, 0) AS start, least(s + n - 4, runs) AS stop
+  SELECT DISTINCT n.doc_id, n.text, item_id, item, n, greatest(least(s, runs - n + 4), 0) AS start,
+         least(greatest(least(s, runs - n + 4), 0) + n - 4, runs) AS stop
   FROM near n JOIN docs d ON n.doc_id IS NOT DISTINCT FROM d.doc_id AND n.text = d.text
-  WHERE least(s + n - 4, runs) > greatest(s, 0)
 ), window_counts AS (
   SELECT p.doc_id, p.text, p.item_id, p.item, p.n, p.start, p.stop, h.run, count(*) AS c
   FROM placed p JOIN held h ON p.doc_id IS NOT DISTINCT FROM h.doc_id AND p.text = h.text AND h.p >= p.start AND h.p < p.stop

@@ -34,8 +34,8 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from moodtide.llm.common import bounded_slices, row_key, text_of
-from moodtide.storage import scratch_path, store
+from moodtide.llm.common import bounded_slices, row_key, store_texts, text_of
+from moodtide.storage import scratch_path
 
 MAGIC = b"MTOKENS1"
 HEADER = "<8Q"
@@ -291,7 +291,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_json: str, en
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     ordered = rows.repartitionByRange("doc_id", row_key()).sortWithinPartitions("doc_id", row_key())
-    manifest = store(ordered.mapInArrow(shards, MANIFEST), "token_manifest")
+    manifest = store_texts(ordered.mapInArrow(shards, MANIFEST), "token_manifest")
     return with_starts(manifest)
 
 

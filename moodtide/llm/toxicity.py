@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.llm.common import bounded_slices, text_of
+from moodtide.llm.common import bounded_slices, store_texts, text_of
 from moodtide.llm.quality import segment_hashes, spread_bits
 
 WINDOW, STRIDE = 24, 12
@@ -302,4 +302,4 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, may_learn: Column)
             found = net.scores(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], names=["doc_id", "score"])
 
-    return rows.mapInArrow(score, "doc_id long, score double")
+    return store_texts(rows.mapInArrow(score, "doc_id long, score double"), "toxicity_scores")
