@@ -44,7 +44,9 @@ def integer_vectors(table: DataFrame, scale: int = 256) -> DataFrame:
     sound = F.forall(x, lambda v: F.coalesce((v - v) == 0, F.lit(False)))
     vector = F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double")))
     usable = table.filter(x.isNotNull() & (F.size(x) > 0) & sound)
-    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"))
+    # No id sorts after all ids; numpy has no NULL for whole numbers.
+    given = F.coalesce(F.col("vec_id").cast("long"), F.lit(int(NO_ID)))
+    return usable.select(given.alias("vec_id"), vector.alias("vector"))
 
 
 def matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -138,7 +140,7 @@ def top_k(table: DataFrame, query_every: int = 50, k: int = 5, scale: int = 256)
     vectors = integer_vectors(table, scale)
     pivots, width = choose_pivots(vectors)
     stored = pivot_table(vectors, pivots, width)
-    queries = stored.filter(F.col("vec_id") % query_every == 0)
+    queries = stored.filter((F.col("vec_id") != int(NO_ID)) & (F.col("vec_id") % query_every == 0))
     blocks = -(-queries.count() // BLOCK_QUERIES)
     block = F.pmod(F.xxhash64("vec_id"), F.lit(max(blocks, 1)))
     found = spark.createDataFrame([], "query_id long, vec_id long, score long")
@@ -155,7 +157,7 @@ def top_k(table: DataFrame, query_every: int = 50, k: int = 5, scale: int = 256)
             for rows in parts:
                 if rows.empty:
                     continue
-                row_ids = rows["vec_id"].fillna(NO_ID).to_numpy(np.int64)
+                row_ids = rows["vec_id"].to_numpy(np.int64)
                 held_rows = row_ids, matrix(rows["vector"], width), matrix(rows["distance"], len(pivots))
                 out = [
                     pd.DataFrame({"query_id": shipped.value[0][q], "vec_id": ids, "score": scores.astype(np.int64)})

@@ -46,12 +46,16 @@ class Words:
     def __init__(self, texts: pa.Array):
         pieces = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
         offsets = pieces.offsets.to_numpy().astype(np.int64)
-        flat = pieces.flatten().dictionary_encode()
+        flat = pieces.flatten()
+        # White space at an end of a text splits off an empty piece.
+        full = pc.not_equal(flat, "")
+        offsets = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))[offsets - offsets[0]]
+        flat = flat.filter(full).dictionary_encode()
         trimmed = pc.utf8_trim(flat.dictionary, AROUND).dictionary_encode()
         tokens = trimmed.indices.to_numpy()[flat.indices.to_numpy()] if len(flat) else np.empty(0, np.int32)
         self.size = len(trimmed.dictionary)
         self._hash(trimmed.dictionary)
-        self._window(tokens, offsets - offsets[0])
+        self._window(tokens, offsets)
 
     def _hash(self, words: pa.Array) -> None:
         marked = pc.binary_join_element_wise("^", words, "$$", "").cast(pa.large_string())
@@ -197,7 +201,8 @@ class Network:
         return out
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return sigmoid(self.slope * self.logits(Words(texts)).astype(np.float64) + self.shift)
+        """Rounded, since single-precision sums differ in their last digits from batch to batch."""
+        return np.round(sigmoid(self.slope * self.logits(Words(texts)).astype(np.float64) + self.shift), 6)
 
 
 class Adam:
