@@ -33,9 +33,9 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 def tokens(line: Column) -> Column:
     """Tokens between blanks, those with a digit as a variable."""
-    return F.transform(
-        F.array_remove(F.split(line, r"[ \t\r]+"), ""), lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t)
-    )
+    spaced = F.translate(line, "\t\r", "  ")
+    masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
+    return F.array_remove(F.split(masked, " "), "")
 
 
 def leaf(parts: Column) -> Column:
@@ -43,9 +43,16 @@ def leaf(parts: Column) -> Column:
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
-    """doc_id, _row, _line (number from 0), _leaf, _same (hash of the tokens); one row per line long enough."""
+    """doc_id, _row, _line (number from 0), _text, _leaf, _same (hash of the tokens); one row per line long enough.
+
+    A written table: the text is cut into lines and tokens once, and most readers need the narrow columns only.
+    """
     rows = documents.select("doc_id", row_key().alias("_row"), F.posexplode(F.split(text_of("text"), "\n")).alias("_line", "_text"))
-    return rows.withColumn("_tokens", tokens(F.col("_text"))).filter(F.size("_tokens") >= MIN_TOKENS)
+    long = rows.withColumn("_tokens", tokens(F.col("_text"))).filter(F.size("_tokens") >= MIN_TOKENS)
+    hashed = long.select(
+        "doc_id", "_row", "_line", "_text", leaf(F.col("_tokens")).alias("_leaf"), F.xxhash64("_tokens").alias("_same")
+    )
+    return store(hashed, "lines")
 
 
 def document() -> Column:
@@ -53,10 +60,7 @@ def document() -> Column:
 
 
 def recurring_lines(lines: DataFrame) -> DataFrame:
-    """_same, _template of the distinct lines whose template recurs.
-
-    ``lines``: doc_id, _row, _line, _leaf, _same, _tokens.
-    """
+    """_leaf, _same, _doc, _text of the lines in leaves that enough documents reach, once per document."""
     # A leaf can only hold a recurring template if enough documents reach it.
     busy = store(
         lines.select("_leaf", document().alias("_doc")).distinct().groupBy("_leaf").agg(F.count("*").alias("n"))
@@ -64,17 +68,14 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
     )
     small = measured_bytes(busy, F.lit(16)) <= BROADCAST_BYTES
     inside = lines.join(F.broadcast(busy) if small else busy, "_leaf", "left_semi")
-    held = inside.select("_leaf", "_same", "_tokens", document().alias("_doc"))
-    # One row per distinct line and document; then one per distinct line, with its documents.
-    counted = held.groupBy("_leaf", "_same", "_doc").agg(F.first("_tokens").alias("_tokens"))
-    return store(counted, "leaf_lines")
+    held = inside.select("_leaf", "_same", "_text", document().alias("_doc"))
+    return store(held.groupBy("_leaf", "_same", "_doc").agg(F.first("_text").alias("_text")), "leaf_lines")
 
 
 def templates(held: DataFrame) -> DataFrame:
-    """_same, _template for lines of recurring templates. ``held``: _leaf, _same, _doc, _tokens."""
-    distinct = store(
-        held.groupBy("_leaf", "_same").agg(F.first("_tokens").alias("_tokens"), F.count("*").alias("_docs")), "distinct_lines"
-    )
+    """_same, _template for lines of recurring templates. ``held``: _leaf, _same, _doc, _text."""
+    once = held.groupBy("_leaf", "_same").agg(F.first("_text").alias("_text"), F.count("*").alias("_docs"))
+    distinct = store(once.select("_leaf", "_same", tokens(F.col("_text")).alias("_tokens"), "_docs"), "distinct_lines")
     places = distinct.select("_leaf", "_same", "_docs", F.posexplode("_tokens").alias("_at", "_token"))
     support = places.groupBy("_leaf", "_at", "_token").agg(F.sum("_docs").alias("_support"))
     constant = support.filter((F.col("_support") >= MIN_DOCUMENTS) & (F.col("_token") != VARIABLE)).drop("_support")
@@ -88,10 +89,7 @@ def templates(held: DataFrame) -> DataFrame:
 
 def dropped_lines(documents: DataFrame) -> DataFrame:
     """doc_id, _row, _line of the lines to drop."""
-    lines = document_lines(documents)
-    named = lines.select(
-        "doc_id", "_row", "_line", leaf(F.col("_tokens")).alias("_leaf"), F.xxhash64("_tokens").alias("_same"), "_tokens"
-    )
+    named = document_lines(documents)
     held = recurring_lines(named)
     known = store(templates(held), "line_templates")
     small = measured_bytes(known, F.lit(24)) <= BROADCAST_BYTES
