@@ -76,7 +76,6 @@ def test_one_of_each_group(spark, messy):
     kept = near.one_of_each_group(messy)
     assert kept.columns == messy.columns
     groups = brute_groups([(r["doc_id"], r["text"]) for r in messy.collect()])
-    assert kept.count() == len({(r["_row"] if r["class_id"] is None else r["class_id"], r["class_id"] is None) for r in near.near_duplicate_groups(messy).collect()}) or True
     texts = [(r["doc_id"], r["text"]) for r in kept.collect()]
     assert len(texts) == len(set(texts)) and texts.count((8, "one two")) == 1
     firsts = {g[1] for g in groups if g[1] is not None}
