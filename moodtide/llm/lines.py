@@ -72,14 +72,36 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
     return store(held.groupBy("_leaf", "_same", "_doc").agg(F.first("_text").alias("_text")), "leaf_lines")
 
 
+def constant_tokens(places: DataFrame, held: DataFrame) -> DataFrame:
+    """_leaf, _at, _token held by at least ``MIN_DOCUMENTS`` documents.
+
+    A document may hold a token in many lines, so the documents of the lines are no more than an upper limit. Their
+    bits, one of 63 by document, are a lower one. Where the two leave it open the documents are counted.
+    """
+    support = places.filter(F.col("_token") != VARIABLE).groupBy("_leaf", "_at", "_token").agg(
+        F.sum("_docs").alias("_most"), F.bit_count(F.bit_or("_bits")).alias("_least")
+    )
+    support = store(support.filter(F.col("_most") >= MIN_DOCUMENTS), "token_support")
+    sure = support.filter(F.col("_least") >= MIN_DOCUMENTS).select("_leaf", "_at", "_token")
+    unclear = support.filter(F.col("_least") < MIN_DOCUMENTS).select("_leaf", "_at", "_token")
+    small = measured_bytes(unclear, F.octet_length("_token") + 48) <= BROADCAST_BYTES
+    found = places.drop("_docs", "_bits").join(F.broadcast(unclear) if small else unclear, ["_leaf", "_at", "_token"])
+    found = store(found, "unclear_tokens")
+    small = measured_bytes(found, F.octet_length("_token") + 56) <= BROADCAST_BYTES
+    docs = held.select("_leaf", "_same", "_doc").join(F.broadcast(found) if small else found, ["_leaf", "_same"])
+    docs = docs.select("_leaf", "_at", "_token", "_doc")
+    counted = docs.distinct().groupBy("_leaf", "_at", "_token").agg(F.count("*").alias("n"))
+    return sure.union(counted.filter(F.col("n") >= MIN_DOCUMENTS).drop("n"))
+
+
 def templates(held: DataFrame) -> DataFrame:
     """_same, _template for lines of recurring templates. ``held``: _leaf, _same, _doc, _text."""
-    once = held.groupBy("_leaf", "_same").agg(F.first("_text").alias("_text"), F.count("*").alias("_docs"))
-    distinct = store(once.select("_leaf", "_same", tokens(F.col("_text")).alias("_tokens"), "_docs"), "distinct_lines")
-    places = distinct.select("_leaf", "_same", "_docs", F.posexplode("_tokens").alias("_at", "_token"))
-    support = places.groupBy("_leaf", "_at", "_token").agg(F.sum("_docs").alias("_support"))
-    constant = support.filter((F.col("_support") >= MIN_DOCUMENTS) & (F.col("_token") != VARIABLE)).drop("_support")
-    marked = places.drop("_docs").join(constant.withColumn("_constant", F.lit(True)), ["_leaf", "_at", "_token"], "left")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_doc", F.lit(63)).cast("int"))
+    once = held.groupBy("_leaf", "_same").agg(F.first("_text").alias("_text"), F.count("*").alias("_docs"), F.bit_or(bit).alias("_bits"))
+    distinct = store(once.select("_leaf", "_same", tokens(F.col("_text")).alias("_tokens"), "_docs", "_bits"), "distinct_lines")
+    places = distinct.select("_leaf", "_same", "_docs", "_bits", F.posexplode("_tokens").alias("_at", "_token"))
+    constant = constant_tokens(places, held)
+    marked = places.drop("_docs", "_bits").join(constant.withColumn("_constant", F.lit(True)), ["_leaf", "_at", "_token"], "left")
     shape = F.transform(F.sort_array(F.collect_list(F.struct("_at", F.when(F.col("_constant"), F.col("_token")).alias("t")))), lambda p: p["t"])
     built = marked.groupBy("_leaf", "_same").agg(
         F.xxhash64("_leaf", shape).alias("_template"), F.count("_constant").alias("_fixed"), F.count("*").alias("_size")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from moodtide.llm import lines
 from tests.llm.conftest import prose
 
@@ -35,3 +37,19 @@ def test_hot_line(spark):
     rows = [(i, "all rights of this work are reserved\n" + prose(8, i)) for i in range(500)]
     out = lines.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {(r["doc_id"], r["n_dropped"]) for r in out.collect()} == {(i, int(i > 0)) for i in range(500)}
+
+
+def test_support_counts_documents_not_lines(spark):
+    """A name that one document repeats in three lines is no constant."""
+    ends = ["cron", "root", "sshd"]
+    rows = [(i, "\n".join(f"session for user {name} opened by {end}" for end in ends)) for i, name in enumerate(["ann", "bob", "eve"])]
+    out = lines.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_dropped"] for r in out.collect()} == {0: 0, 1: 3, 2: 3}
+
+
+def test_support_of_documents_with_one_bit(spark, monkeypatch):
+    """Where the bits of documents fall together the documents are counted."""
+    monkeypatch.setattr(lines, "document", lambda: F.col("doc_id") * 63)
+    rows = [(i, f"the daily job {name} has ended well") for i, name in enumerate(["alpha", "beta", "gamma"])]
+    out = lines.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_dropped"] for r in out.collect()} == {0: 0, 1: 1, 2: 1}
