@@ -10,8 +10,8 @@
 - Host: P(language | host) is smoothed towards its domain, that towards its suffix, and that towards
   the whole table. A row's own text counts are taken out of its host's counts first.
 
-The text model is fitted on a sample of at most about ``TRAIN_ROWS`` rows with a declared language,
-chosen by a hash of the text. All other counts and all scores cover all rows and whole texts.
+The text model is fitted on a sample of at most ``TRAIN_ROWS`` distinct texts with a declared language,
+those of the lowest hashes. All other counts and all scores cover all rows and whole texts.
 
 Defined cases: without text, a declared value, a suffix or a host that evidence is left out; rows
 without any evidence get the most frequent language, and are rejected if that stays under the
@@ -98,8 +98,11 @@ def trigram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def fit_text_model(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, rows: int = TRAIN_ROWS) -> np.ndarray:
     """Log probability of every bucket (rows) in every language and in none (columns)."""
     labelled = labelled.filter(F.col("declared").isin(*languages) & (F.length("text") > 0)).select("declared", "text")
-    keep_one_of = max(1, round(labelled.count() / rows))
-    sample = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(keep_one_of)) == 0).repartition(4, "text")
+    hashed = labelled.withColumn("_hash", F.xxhash64("declared", "text"))
+    chosen = store(hashed.select("_hash").distinct().orderBy("_hash").limit(rows), "training_hashes")
+    copies = hashed.join(F.broadcast(chosen), "_hash", "left_semi")
+    sample = copies.groupBy("_hash").agg(F.first("declared").alias("declared"), F.first("text").alias("text"))
+    sample = sample.select("declared", "text").repartition(4)
     shape = len(languages), 2**BUCKET_BITS + 1
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

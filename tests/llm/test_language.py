@@ -3,6 +3,7 @@ import pyarrow as pa
 
 from moodtide.llm import language
 from pyspark.sql import functions as F
+from tests.llm.conftest import prose
 
 PAGES = [
     (1, "http://www.host.example.fr/en/1", "<html lang='de-DE'><script>var en</script><p>le chat &amp; la souris</p></html>"),
@@ -107,3 +108,12 @@ def test_unknown_scripts_are_rejected(spark, folder):
     odd = spark.createDataFrame([(-1, "字" * 300, None, "odd1"), (-2, "жзийклмнопрст " * 30, None, "odd2")], docs.schema)
     kept = {r["doc_id"] for r in language.accepted_documents(docs.union(odd)).select("doc_id").collect()}
     assert not {-1, -2} & kept and len(kept) == docs.count()
+
+
+def test_copies_of_a_text_train_once(spark):
+    texts = [("en" if i % 2 else "de", prose(30, i)) for i in range(40)]
+    once = spark.createDataFrame(texts, "declared string, text string")
+    copied = spark.createDataFrame(texts + texts[:1] * 400, "declared string, text string")
+    assert np.array_equal(language.fit_text_model(once), language.fit_text_model(copied))
+    lowest = once.orderBy(F.xxhash64("declared", "text")).limit(5)
+    assert np.array_equal(language.fit_text_model(copied, rows=5), language.fit_text_model(lowest))
