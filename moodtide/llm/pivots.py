@@ -101,8 +101,9 @@ def search_block(
         for p in range(far.shape[1]):
             apart = query_distances[strip, p, None].astype(np.float32) - far[None, :, p].astype(np.float32)
             np.maximum(bound, np.abs(apart, out=apart), out=bound)
-        # A little more than the rounding of the distances, so that limits are never too low.
-        bound = np.maximum(bound * (1 - 1e-6) - 1e-2, 0).astype(np.float64)
+        # More than single precision takes from the distances, so that limits are never too low.
+        slack = (query_distances[strip].max(1, initial=0)[:, None] + far.max(1, initial=0)) * 2**-22 + 1e-2
+        bound = np.maximum(bound.astype(np.float64) - slack, 0)
         limits = (query_norms[strip, None] + norms - bound**2) / 2
         for i in range(len(limits)):
             q = start + i

@@ -64,3 +64,13 @@ def test_bounds_hold():
     bound = np.abs(far[:, None] - far[None]).max(2)
     true = np.sqrt(((rows[:, None] - rows[None]) ** 2).sum(2))
     assert (bound <= true + 1e-6).all()
+
+
+def test_far_pivot_hides_no_row(monkeypatch):
+    """Distances near 1e8 lose units in single precision; scores differ by 10."""
+    monkeypatch.setattr(pivots, "RUN", 4)
+    rows, query, pivot = np.arange(90_000.0, 100_000.0)[:, None], np.array([[10.0]]), np.array([[-1e8]])
+    queries = np.array([-1]), query, pivots.distances(query, pivot), np.array([-np.inf])
+    held = np.arange(len(rows)), rows, pivots.distances(rows, pivot)
+    ((_, _, scores),) = pivots.search_block(queries, held, 5)
+    assert scores.tolist() == [999_990.0, 999_980.0, 999_970.0, 999_960.0, 999_950.0]
