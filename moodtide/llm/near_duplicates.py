@@ -376,12 +376,12 @@ def open_members(members: DataFrame, firsts: DataFrame, labels: DataFrame, teste
     return opened.join(known, ["first", "class"], "left").select("bucket", "n", "class", "label", near.alias("near"))
 
 
-def small_pairs(opened: DataFrame, tested: DataFrame) -> DataFrame:
+def small_pairs(opened: DataFrame, tested: DataFrame, limit: float) -> DataFrame:
     """All pairs of different parts within small buckets that were not compared yet."""
     rows = opened.filter(F.col("n") <= SMALL)
     left = rows.select("bucket", F.col("class").alias("a"), F.col("label").alias("label_a"), F.col("near").alias("near_a"))
     right = rows.select("bucket", F.col("class").alias("b"), F.col("label").alias("label_b"), F.col("near").alias("near_b"))
-    may_link = F.abs(F.col("near_a") - F.col("near_b")) <= 1 - SIMILARITY + 1e-6
+    may_link = F.abs(F.col("near_a") - F.col("near_b")) <= 1 - limit + 1e-6
     pairs = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & may_link)
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
@@ -413,7 +413,7 @@ def block_links(opened: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
     packed = store(packed, "packed_blocks")
     heads = packed.select("bucket", "block", "part", "step")
     others = heads.select("bucket", F.col("block").alias("block_b"), F.col("part").alias("part_b"), F.col("step").alias("step_b"))
-    apart = (F.abs(F.col("step") - F.col("step_b")) - 1) * BIN > 1 - SIMILARITY + 1e-6
+    apart = (F.abs(F.col("step") - F.col("step_b")) - 1) * BIN > 1 - limit + 1e-6
     same = F.coalesce(F.col("part") == F.col("part_b"), F.lit(False))
     pairs = heads.join(others, "bucket").filter((F.col("block") <= F.col("block_b")) & ~apart & ~same)
     joined = (
@@ -485,6 +485,8 @@ def signed_table(documents: DataFrame) -> DataFrame:
 
 def text_labels(documents: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     """node (class of a text), label: for all texts that are linked to a different text."""
+    if limit < SIMILARITY:
+        raise ValueError(f"bands find pairs from similarity {SIMILARITY} on, not from {limit}")
     signed = signed_table(documents)
     members = store(buckets(signed), "buckets")
     grouped = members.select("class").distinct()
@@ -497,7 +499,7 @@ def text_labels(documents: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     links = tested.filter(F.col("similarity") >= limit).select("a", "b")
     labels = connected(links)
     opened = store(open_members(members, firsts, labels, tested), "open_buckets")
-    more = compare(small_pairs(opened, tested), texts).filter(F.col("similarity") >= limit)
+    more = compare(small_pairs(opened, tested, limit), texts).filter(F.col("similarity") >= limit)
     blocks = block_links(opened, texts, limit)
     added = store(more.union(blocks).select("a", "b").distinct(), "more_links")
     return labels if added.isEmpty() else connected(links.union(added))

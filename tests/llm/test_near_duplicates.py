@@ -115,3 +115,14 @@ def test_small_changes_link(spark):
     rows = [(1, text), (2, edited(text, 200)), (3, text.upper().replace(" ", "  ")), (4, prose(400, 78)), (5, text[: len(text) // 2])]
     got = found(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got == [(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1), (5, 5, 1)]
+
+
+def test_limits_below_the_bands_are_refused(messy):
+    with pytest.raises(ValueError, match="not from 0.7"):
+        near.near_duplicate_groups(messy, 0.7)
+
+
+def test_higher_limit_equals_brute_force(spark, messy):
+    rows = [(r["doc_id"], r["text"]) for r in messy.collect()]
+    got = [(r["doc_id"], r["class_id"], r["group_rows"]) for r in near.near_duplicate_groups(messy, 0.95).collect()]
+    assert sorted(got, key=repr) == brute_groups(rows, 0.95)
