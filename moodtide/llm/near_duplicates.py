@@ -7,7 +7,10 @@ links. A shingle weighs
     tf * idf,   idf = 1 + ln((1 + N) / (1 + df)) / ln(1 + N)
 
 with tf its occurrences in the text, df the documents that hold it and N all documents. The idf lies
-between 1 and 2, so a passage that thousands share weighs half of a unique one.
+between 1 and 2, so a passage that thousands share weighs little more than half of a unique one.
+df counts exact copies too: a hot text's shingles lose weight against those that a variant changed.
+By the formula at N = 100,000, a pair with 86 shingles shared and 10 different on each side has
+similarity 0.808 alone, 0.783 with 1,000 copies of one text and 0.756 with 33,000, and is then not linked.
 
 1. Document frequencies. Documents are dealt into chunks of bounded size, copies of one text into
    many. A chunk sends each of its distinct shingles once, with its count, to the partition of the
