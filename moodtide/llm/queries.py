@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, language, lines, mixing, near_duplicates, pivots, quality, sql, token_files, toxicity
+from moodtide.llm import chat, decontaminate, language, lines, mixing, near_duplicates, pivots, quality, ranked, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,10 @@ def op1_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     digest = F.md5(text).alias("kept_md5")
     return kept.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("kept_chars"), digest)
+
+
+@register(sql.RANKED)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return ranked.ranked_search(documents, table(spark, folder, "benchmark").select("item_id", "text"))

@@ -120,3 +120,32 @@ SELECT doc_id, CAST(CASE WHEN text <> '' THEN len(all_lines) ELSE 0 END AS BIGIN
        CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(body) AS BIGINT) AS kept_chars, md5(body) AS kept_md5
 FROM rebuilt
 """
+
+RANKED = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS d, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), worded AS (
+  SELECT d, doc_id, list_filter(string_split_regex(t, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM texts
+), held AS (SELECT d, doc_id, w, len(w) AS n FROM worded WHERE len(w) > 0
+), totals AS (SELECT count(*) AS n_docs, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_terms FROM held
+), postings AS (
+  SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, n, unnest(w) AS term FROM held) GROUP BY ALL
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)
+), asked AS (
+  SELECT DISTINCT i, item_id, unnest(list_filter(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM items
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals
+), scored AS (
+  SELECT i, item_id, d, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS "rank" FROM scored WHERE score > 0
+)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 50
+"""

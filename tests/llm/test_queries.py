@@ -19,7 +19,7 @@ def test_equals_sql(spark, duck, folder, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_line_templates", "op2_chat_examples", "op9_benchmark_leaks"])
