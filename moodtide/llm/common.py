@@ -81,3 +81,33 @@ def bounded_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -
 def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
     """Sum of an estimate per row: one aggregation."""
     return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+# A key with more rows than this counts as hot.
+HOT_ROWS = 10_000
+
+
+def looked_up(rows: DataFrame, keys: list[str], table: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has one row per key; NULL where it has none.
+
+    Keys of more than ``hot_rows`` rows, of which there is at most one per ``hot_rows`` rows, are broadcast.
+    Their rows, and those with a NULL key, then go to the second join under keys of their own.
+    """
+    names = [name for name in table.columns if name not in keys]
+    often = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
+    often = store(often, "hot_keys")
+    if often.isEmpty():
+        return rows.join(table, keys, "left")
+    hot = table.join(F.broadcast(often), keys).select(*keys, F.struct(*names).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    placed = F.col("_hot").isNotNull()
+    for key in keys:
+        placed = placed | F.col(key).isNull()
+    spread = F.xxhash64(*(f"`{name}`" for name in rows.columns))
+    own = {f"_key{i}": F.when(placed, spread).otherwise(F.col(key)) for i, key in enumerate(keys)}
+    cold = table.select(*(F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)), F.struct(*names).alias("_cold"))
+    joined = marked.withColumns({"_placed": placed, **own}).join(
+        cold.withColumn("_placed", F.lit(False)), ["_placed", *own], "left"
+    )
+    value = F.coalesce("_hot", "_cold")
+    return joined.select(*rows.columns, *(value[name].alias(name) for name in names))

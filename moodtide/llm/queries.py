@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from moodtide.llm import chat, decontaminate, language, lines, mixing, near_duplicates, pivots, quality, ranked, sql, token_files, toxicity
+from moodtide.llm import (
+    chat,
+    decontaminate,
+    language,
+    lines,
+    mixing,
+    near_duplicates,
+    pivots,
+    prefix_trie,
+    quality,
+    ranked,
+    sql,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -131,3 +145,9 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The fifty best documents for every benchmark item."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return ranked.ranked_search(documents, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@register(sql.TRIE)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every common beginning of rebuilt conversations, with what sharing it saves."""
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))

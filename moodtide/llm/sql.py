@@ -149,3 +149,41 @@ WITH texts AS (
 )
 SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 50
 """
+
+# CRC-32 bit by bit; a node is named by the digests of its turns one behind the other.
+TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+           lambda c, s: list_reduce(list_prepend(xor(c, s), CAST(range(8) AS BIGINT[])),
+             lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+  FROM turns GROUP BY conv_id
+), whole AS (SELECT s.*, least(h, coalesce(b.n, 0)) AS k FROM sizes s LEFT JOIN (SELECT conv_id AS base, n FROM sizes) b USING (base)
+), rebuilt AS (
+  SELECT w.conv_id, t.i AS pos, role, text FROM whole w JOIN turns t ON t.conv_id = w.base AND t.i <= w.h
+  UNION ALL SELECT w.conv_id, t.i - w.h + w.k, role, text FROM whole w JOIN turns t ON t.conv_id = w.conv_id AND t.i > w.h
+), paths AS (
+  SELECT conv_id, pos AS depth, octet_length(encode(text)) AS bytes,
+         string_agg(md5(role || chr(10) || text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM sizes
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n, first(bytes) AS bytes FROM paths GROUP BY path, depth
+), children AS (
+  SELECT left(path, (depth - 1) * 32) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), sums AS (
+  SELECT a.path, count(*) FILTER (below.n_children = 0) AS n_leaves, CAST(sum((below.n - 1) * below.bytes) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM counted) below JOIN nodes a ON a.path = left(below.path, up * 32) GROUP BY 1
+), ends AS (
+  SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, path FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY 1
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted c JOIN sums USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = left(c.path, (c.depth - 1) * 32)
+"""
