@@ -20,6 +20,7 @@ from moodtide.llm import (
     sql,
     token_files,
     toxicity,
+    vector_links,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +152,9 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Every common beginning of rebuilt conversations, with what sharing it saves."""
     return prefix_trie.prefix_trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+@register(sql.VECTOR_LINKS)
+def op11_vector_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vector_links.vector_links(table(spark, folder, "embeddings").select("vec_id", "embedding"))

@@ -187,3 +187,19 @@ SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_chil
 FROM counted c JOIN sums USING (path) LEFT JOIN ends USING (path)
 LEFT JOIN nodes p ON c.depth > 0 AND p.path = left(c.path, (c.depth - 1) * 32)
 """
+
+VECTOR_LINKS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= CAST(0.9 AS DOUBLE)
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), components AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY 1
+), counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN counts USING (vec_id)
+"""
