@@ -42,13 +42,17 @@ HEADER = "<8Q"
 SELECT_EVERY = 256
 # A shard ends with the document that brings it to so many ids.
 SHARD_IDS = 2_000_000
+# Ids that one task reads back, several shards.
+TASK_IDS = 8_000_000
 SLICE_BYTES = 4_000_000
 # Distinct pieces that a task remembers.
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 2_000_000
 
-# Two white-space characters next to each other: cutting there could part a token.
-SPACES = r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WIDE_SPACE = rf"[{SPACES}][{SPACES}]"
+# Two white-space characters next to each other: cutting there could part a token. Nor may a text begin
+# with another white-space character than the space or the line break.
+ODD_SPACES = r"\t\f\r\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACES = r" \n" + ODD_SPACES
+UNCUT = rf"^[{ODD_SPACES}]|[{SPACES}][{SPACES}]"
 
 
 # The printable bytes that byte-level vocabularies write as themselves. The others, in
@@ -63,13 +67,71 @@ def byte_signs(word: str) -> str:
     return word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
 
 
+class Names:
+    """A growing list of distinct strings with a place for each. Short ones are held as numbers: looked up by a
+    hash of their bytes and compared whole. Longer ones, and the second of two with one hash, stand in a dictionary."""
+
+    WIDTH = 16
+
+    def __init__(self):
+        self.count, self.others = 0, {}
+        self.hashes, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.bytes, self.lengths = np.empty((0, 2), np.uint64), np.empty(0, np.int64)
+
+    def numbers(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First bytes as two numbers, length, and hash of each name."""
+        offsets = np.frombuffer(names.buffers()[1], np.int32)[names.offset : names.offset + len(names) + 1]
+        data = np.frombuffer(names.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+        data, lengths = np.append(data, np.zeros(self.WIDTH, np.uint8)), np.diff(offsets).astype(np.int64)
+        place = np.arange(self.WIDTH)
+        held = data[offsets[:-1, None] + place]
+        held[place >= lengths[:, None]] = 0
+        pair = held.view(np.uint64)
+        mixed = pair[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ (pair[:, 1] + lengths.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return pair, lengths, mixed ^ (mixed >> np.uint64(29))
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """Place of each name, -1 where it is unknown."""
+        if not len(names):
+            return np.empty(0, np.int64)
+        pair, lengths, hashes = self.numbers(names)
+        out, odd = np.full(len(names), -1), lengths > self.WIDTH
+        if len(self.hashes):
+            near = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            same = np.flatnonzero(self.hashes[near] == hashes)
+            near = near[same]
+            equal = (self.lengths[near] == lengths[same]) & (self.bytes[near] == pair[same]).all(1)
+            out[same[equal]] = self.at[near[equal]]
+            odd[same[~equal]] = True
+        if self.others and odd.any():
+            out[odd] = [self.others.get(name, -1) for name in names.filter(pa.array(odd)).to_pylist()]
+        return out
+
+    def add(self, names: pa.Array) -> None:
+        """Names that are not known yet, in their order."""
+        pair, lengths, hashes = self.numbers(names)
+        order = np.argsort(hashes, kind="stable")
+        sorted_ = hashes[order]
+        near = np.searchsorted(self.hashes, sorted_)
+        taken = np.append(False, sorted_[1:] == sorted_[:-1])
+        if len(self.hashes):
+            taken |= self.hashes[np.minimum(near, len(self.hashes) - 1)] == sorted_
+        taken |= lengths[order] > self.WIDTH
+        for i, name in zip(order[taken].tolist(), names.take(pa.array(order[taken])).to_pylist(), strict=True):
+            self.others[name] = self.count + i
+        order, near = order[~taken], near[~taken]
+        self.hashes, self.at = np.insert(self.hashes, near, hashes[order]), np.insert(self.at, near, self.count + order)
+        self.bytes, self.lengths = np.insert(self.bytes, near, pair[order], axis=0), np.insert(self.lengths, near, lengths[order])
+        self.count += len(names)
+
+
 class Encoder:
     """Token ids of whole texts by a byte-level ``tokenizers`` tokenizer, each distinct piece encoded once.
 
     Such a tokenizer never joins what stands before a single space or line break with what follows,
     nor letters with the full stop or comma after them, so texts are cut there; a piece keeps the
-    white space before it. Texts with wider white space are encoded whole. Pieces go to the tokenizer
-    piece by piece; runs of letters, the most of them, go straight to its model.
+    white space before it. Texts with wider white space are encoded whole. Pieces of letters, the most
+    of them, go straight to its model, the others to the tokenizer.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -77,58 +139,88 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.model = self.tokenizer.model
-        self.newline = self.ids_of("\n")[0]
-        self.marks = self.ids_of("."), self.ids_of(",")
+        self.marks = [(sign, self.ids_of(sign)) for sign in ".,"]
+        self.newline = self.ids_of("\n").tolist()
         self.forget()
 
     def forget(self) -> None:
-        """Known pieces: the place of each in one growing array of ids."""
-        self.known: dict[str, int] = {}
-        self.ids, self.at, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        """Known pieces: their names, and the place of each in one growing array of ids."""
+        self.names = Names()
+        self.ids, self.at, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def ids_of(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def learn(self, pieces: list[str]) -> None:
-        array = pa.array(pieces, pa.string())
-        rest = pc.utf8_slice_codeunits(array, 1)
+    def runs_of_letters(self, pieces: pa.Array, head: str, before: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for pieces of letters after white space: one call of the model each."""
+        words, model = pc.utf8_slice_codeunits(pieces, 1).to_pylist(), self.tokenizer.model
+        runs = [before + [token.id for token in model.tokenize(head + byte_signs(word))] for word in words]
+        return np.fromiter(chain.from_iterable(runs), np.uint32), np.fromiter(map(len, runs), np.int64, len(runs))
+
+    def learn(self, pieces: pa.Array) -> None:
+        """Add ``pieces``, none of which is known, in their order."""
+        rest = pc.utf8_slice_codeunits(pieces, 1)
         lettered = pc.match_substring_regex(rest, r"^\pL+$")
-        parts, sizes, names = [self.ids], [], []
-        # One letter run is one call of the model; the line break before it is a token of its own.
-        for before, head in ((" ", SPACE_SIGN), ("\n", "")):
-            lines = rest.filter(pc.and_(lettered, pc.starts_with(array, before))).to_pylist()
-            runs = [[token.id for token in self.model.tokenize(head + byte_signs(word))] for word in lines]
-            if not head:
-                runs = [[self.newline, *run] for run in runs]
-            parts.append(np.fromiter(chain.from_iterable(runs), np.uint32))
-            sizes.append(np.fromiter(map(len, runs), np.int64, len(runs)))
-            names += [before + word for word in lines]
-        odd = pc.invert(lettered)
-        for piece in array.filter(odd).to_pylist():
-            parts.append(self.ids_of(piece))
-            sizes.append(np.array([len(parts[-1])]))
-            names.append(piece)
-        sizes = np.concatenate(sizes)
-        at = len(self.ids) + np.cumsum(sizes) - sizes
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(sizes)), strict=True))
-        self.ids, self.at, self.sizes = np.concatenate(parts), np.append(self.at, at), np.append(self.sizes, sizes)
+        marked = pc.match_substring_regex(rest, r"^\pL+[.,]$")
+        if pc.any(marked).as_py():
+            bare = self.places(pc.utf8_slice_codeunits(pieces.filter(marked), 0, -1))
+            # What is known by now may hold some of the pieces.
+            new = pa.array(self.names.find(pieces) < 0)
+            if not pc.all(new).as_py():
+                pieces, lettered, marked = (x.filter(new) for x in (pieces, lettered, marked))
+        spaced = pc.starts_with(pieces, " ")
+        at, sizes = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        parts, end = [self.ids], len(self.ids)
+
+        def place(which: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+            nonlocal end
+            at[which], sizes[which] = end + np.cumsum(counts) - counts, counts
+            parts.append(ids)
+            end += len(ids)
+
+        flags = [pc.and_(lettered, spaced), pc.and_not(lettered, spaced), pc.invert(pc.or_(lettered, marked))]
+        near, lines, odd = (np.flatnonzero(f.to_numpy(zero_copy_only=False)) for f in flags)
+        # The line break before letters is a token of its own.
+        for which, head, before in ((near, SPACE_SIGN, []), (lines, "", self.newline)):
+            place(which, *self.runs_of_letters(pieces.take(pa.array(which)), head, before))
+        runs = [self.ids_of(piece) for piece in pieces.take(pa.array(odd)).to_pylist()]
+        place(odd, np.concatenate([*runs, np.empty(0, np.uint32)]), np.array([len(run) for run in runs], np.int64))
+        which = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        if len(which):
+            # Letters with a mark after them are the letters' ids and the mark's.
+            signs = pc.utf8_slice_codeunits(pieces.take(pa.array(which)), -1)
+            for sign, mark in self.marks:
+                has = pc.equal(signs, sign).to_numpy(zero_copy_only=False)
+                counts = self.sizes[bare[has]].astype(np.int64)
+                starts = np.cumsum(counts + len(mark)) - counts - len(mark)
+                ids = np.empty(int(counts.sum()) + len(mark) * len(counts), np.uint32)
+                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                ids[np.repeat(starts, counts) + inside] = self.ids[np.repeat(self.at[bare[has]], counts) + inside]
+                for i, token in enumerate(mark):
+                    ids[starts + counts + i] = token
+                place(which[has], ids, counts + len(mark))
+        self.names.add(pieces)
+        self.ids = np.concatenate(parts)
+        self.at, self.sizes = np.append(self.at, at.astype(np.int32)), np.append(self.sizes, sizes.astype(np.int32))
 
     def places(self, pieces: pa.Array) -> np.ndarray:
         """Where the ids of each piece are."""
         pieces = pieces.dictionary_encode()
-        names = pieces.dictionary.to_pylist()
-        new = [piece for piece in names if piece not in self.known]
-        if new:
-            self.learn(new)
-        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[pieces.indices.to_numpy()]
+        names = pieces.dictionary
+        found = self.names.find(names)
+        new = found < 0
+        if new.any():
+            unknown = names.filter(pa.array(new))
+            self.learn(unknown)
+            found[new] = self.names.find(unknown)
+        return found[pieces.indices.to_numpy()]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and the number of ids per text."""
-        if len(self.known) > KNOWN_PIECES:
+        if self.names.count > KNOWN_PIECES:
             self.forget()
         texts = pc.fill_null(texts, "")
-        whole = pc.match_substring_regex(texts, WIDE_SPACE)
+        whole = pc.match_substring_regex(texts, UNCUT)
         parts = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), " ")
         offsets = parts.offsets.to_numpy().astype(np.int64)
         offsets = offsets - offsets[0]
@@ -136,40 +228,28 @@ class Encoder:
         spaced = pc.invert(pc.starts_with(flat.dictionary, "\n"))
         pieces = pc.binary_join_element_wise(pc.if_else(spaced, " ", ""), flat.dictionary, "")
         starts = pc.binary_join_element_wise("\n", flat.take(pa.array(offsets[:-1])).dictionary_decode(), "")
-        # Letters with a mark after them share the ids of the letters.
-        marked = pc.match_substring_regex(pieces, r"^[ \n]\pL+[.,]$")
-        place = self.places(pc.if_else(marked, pc.utf8_slice_codeunits(pieces, 0, -1), pieces))
-        mark = pc.if_else(marked, pc.utf8_slice_codeunits(pieces, -1), "")
         first = self.places(starts)
-        wholes = [self.ids_of(t) for t in texts.filter(whole).to_pylist()]
-
-        # One pool of id runs: known pieces, nothing, the marks, the end id, the whole texts.
-        known, extra = len(self.sizes), [np.empty(0, np.uint32), *self.marks, np.array([end_id], np.uint32), *wholes]
-        extra_sizes = np.fromiter(map(len, extra), np.int64, len(extra))
-        ids = np.concatenate([self.ids, *extra])
-        at = np.append(self.at, len(self.ids) + np.cumsum(extra_sizes) - extra_sizes)
-        sizes = np.append(self.sizes, extra_sizes)
-
-        # Two runs per piece, its own and its mark's or nothing; the end id after each text.
-        mark_run = np.full(len(flat.dictionary), known)
-        for number, sign in enumerate((".", ",")):
-            mark_run[pc.equal(mark, sign).to_numpy(zero_copy_only=False)] = known + 1 + number
-        index = flat.indices.to_numpy()
-        order = np.stack((place[index], mark_run[index]), axis=1)
-        order[offsets[:-1], 0], order[offsets[:-1], 1] = first, known
-        skip = np.zeros(order.shape, np.int64)
-        skip[offsets[:-1], 0] = 1  # the line break put before a first piece
+        place = self.places(pieces)[flat.indices.to_numpy()]
+
+        # A run of ids per piece, and the end id after the pieces of each text. A first piece was looked up
+        # with a line break before it, which is one id; a whole text takes the place of its first piece.
+        n, text = len(texts), np.arange(len(texts))
+        at, runs = np.empty(len(place) + n, np.int32), np.empty(len(place) + n, np.int32)
+        here = np.arange(len(place)) + np.repeat(text, np.diff(offsets))
+        at[here], runs[here] = self.at[place], self.sizes[place]
+        here = offsets[:-1] + text
+        at[here], runs[here] = self.at[first] + 1, self.sizes[first] - 1
         is_whole = whole.to_numpy(zero_copy_only=False)
-        order[offsets[:-1][is_whole], 0] = known + 4 + np.arange(len(wholes))
-        skip[offsets[:-1][is_whole], 0] = 0
-        order = np.insert(order.ravel(), 2 * offsets[1:], known + 3)
-        skip = np.insert(skip.ravel(), 2 * offsets[1:], 0)
-        runs = sizes[order] - skip
-        ends = np.cumsum(runs)
-        moved = np.repeat((at[order] + skip - (ends - runs)).astype(np.int32), runs)
+        wholes = [self.ids_of(t) for t in texts.filter(whole).to_pylist()]
+        lengths = np.array([len(ids) for ids in wholes], np.int64)
+        pool = np.concatenate([self.ids, np.array([end_id], np.uint32), *wholes])
+        runs[here[is_whole]], at[here[is_whole]] = lengths, len(self.ids) + 1 + np.cumsum(lengths) - lengths
+        last = offsets[1:] + text
+        at[last], runs[last] = len(self.ids), 1
+        ends = np.cumsum(runs, dtype=np.int64)
+        moved = np.repeat((at - (ends - runs)).astype(np.int32), runs)
         moved += np.arange(len(moved), dtype=np.int32)
-        text_ends = ends[2 * offsets[1:] + np.arange(len(first))]
-        return ids[moved], np.diff(text_ends, prepend=0)
+        return pool[moved], np.diff(ends[last], prepend=0)
 
 
 def pack_boundaries(ends: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
@@ -331,7 +411,8 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.select("file", "doc_ids", "start").repartition(max(1, manifest.count()), "file")
+    held = manifest.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("ids")).first()["ids"]
+    spread = manifest.select("file", "doc_ids", "start").repartition(max(1, -(-held // TASK_IDS)), "file")
     return spread.mapInArrow(rows, DOCUMENT_ROWS)
 
 

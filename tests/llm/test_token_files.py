@@ -15,6 +15,7 @@ PLAIN, FAST = Tokenizer.from_str(JSON), Encoder(JSON)
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\nb", "a\n\nb", "\na", "\n", "a\n", "\n a", "a  b", "a b", "x\ty z", "don't we'll", "it's.",
     "word.,", "word. word, (word) 12.5", "ñandú, straße. été", "中文 字.", "🎉 é", "<|endoftext|> a <|endoftext|>", "a<|endoftext|>\nb", "é x̀.", "\x1c a\x85b", "A.B c,D",
+    "\xa0", "\xa0<|endoftext|>", "\xa0a", "\x85", "\u3000b", "\ta", "\t", "\x1c", "\r\na", "\u2003 a", "\x0b<|endoftext|>\xa0", "<|endoftext|>\xa0", "a.", "b,", "\nc.",
 ]
 
 
@@ -33,8 +34,12 @@ def test_odd_texts():
     check(ODD[::-1])
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("ab.,' \n\t é中<|>1"), max_size=12) | st.text(max_size=8), min_size=1, max_size=5))
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2003\u200a\u2028\u2029\u202f\u205f\u3000"
+PARTS = st.sampled_from([*WHITE, *"ab.,'é中1", "<|endoftext|>", "word", "ing.", "Not,", "'ll"])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=8).map("".join) | st.text(max_size=8), min_size=1, max_size=5))
 def test_any_text(texts):
     check(texts)
 
