@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue.bindings import SCORED_SQL, ZONE, r6, rounded, scored_events
 from catalogue.registry import register
-from moodtide.operators import forecast, series
+from moodtide.operators import forecast, forest, series
 from moodtide.plans.trend import stored_model_rows
 from moodtide.storage import store
 
@@ -169,7 +169,7 @@ SELECT series, strftime(day, '%Y-%m-%d') AS "date", low <= high AS in_range FROM
 def forest_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Thirty days ahead for every series, from one forest over all of them: days, and values within the labels."""
     rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
-    future = forecast.forecast(rows, forecast.fit_forest(rows), HORIZON)
+    future = forecast.forecast_in_tasks(rows, forecast.fit_forest(rows), HORIZON)
     return _within_labels(future.crossJoin(F.broadcast(_label_range(rows))), "predicted_sentiment")
 
 
@@ -194,6 +194,42 @@ def forest_exact(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.select("series", "rmse", "mae", "rows"), "rmse", "mae")
 
 
+# One split over all training days: the grid's thresholds, labels in fixed point, the first of the best splits.
+LONG_SQL = " UNION ALL ".join(
+    f'SELECT series, "date", label, is_train, {i} AS f, CAST("{name}" AS DOUBLE) AS x FROM known'
+    for i, name in enumerate(forecast.MODEL_FEATURES)
+)
+STUMP_SQL = f"""{MODEL_ROWS_SQL}, long AS ({LONG_SQL}), ends AS (SELECT min(label) AS first, max(label) AS last FROM train
+), bounds AS (SELECT f, min(x) AS lo, max(x) AS hi, count(*) AS n FROM long WHERE is_train GROUP BY f
+), cells AS (
+  SELECT f, lo, hi, n, least({forest.GRID - 1}, CASE WHEN hi > lo THEN floor((x - lo) / (hi - lo) * {forest.GRID}) ELSE 0 END) AS cell, count(*) AS c
+  FROM long JOIN bounds USING (f) WHERE is_train GROUP BY ALL
+), summed AS (
+  SELECT *, sum(c) OVER (PARTITION BY f ORDER BY cell) AS upto, max(cell) OVER (PARTITION BY f) AS top FROM cells
+), picked AS (
+  SELECT f, lo, hi, top, q, min(cell) AS cell FROM summed, range(1, {forest.BINS}) AS quantiles(q)
+  WHERE upto * {forest.BINS} >= n * q GROUP BY ALL
+), thresholds AS (SELECT DISTINCT f, cell, lo + (cell + 1) * (hi - lo) / {forest.GRID} AS t FROM picked WHERE cell < top
+), fixed AS (
+  SELECT f, x, CAST(round((label - first) / (last - first) * {forest.STEPS}) AS BIGINT) AS y FROM long, ends WHERE is_train
+), splits AS (
+  SELECT f, cell, t, CAST(sum(y) FILTER (x <= t) AS DOUBLE) AS sl, count(*) FILTER (x <= t) AS nl,
+         CAST(sum(y) FILTER (x > t) AS DOUBLE) AS sr, count(*) FILTER (x > t) AS nr
+  FROM fixed JOIN thresholds USING (f) GROUP BY ALL
+), best AS (SELECT * FROM splits WHERE nl > 0 AND nr > 0 ORDER BY sl * sl / nl + sr * sr / nr DESC, f, cell LIMIT 1)"""
+
+
+@register(f"""WITH {STUMP_SQL}
+SELECT series, "date", {r6('label')} AS label,
+       {r6(f'first + CASE WHEN x <= t THEN sl / nl ELSE sr / nr END / {forest.STEPS} * (last - first)')} AS prediction
+FROM long JOIN best USING (f), ends WHERE NOT is_train""")
+def forest_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree of one split over all rows and features: its predictions for the later days."""
+    rows = stored_model_rows(scored_events(spark, folder), "platform", zone=ZONE)
+    model = forecast.fit_forest(rows, trees=1, depth=1, bootstrap=False, subset="all")
+    return rounded(forecast.predict_test_days(rows, model), "label", "prediction")
+
+
 VECTOR_SQL = ", ".join(
     f"""{r6(f'("{n}" - (SELECT avg("{n}") FROM train)) / coalesce(nullif((SELECT stddev_samp("{n}") FROM train), 0), 1)')}"""
     f' * CAST((SELECT stddev_samp("{n}") FROM train) > 0 AS INTEGER) AS "{n}"'

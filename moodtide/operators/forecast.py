@@ -1,4 +1,4 @@
-"""Seeded regression forest over leak-free daily features, and a step-by-step forecast.
+"""Regression forest over leak-free daily features, and a step-by-step forecast.
 
 Every feature of a day is known before that day: lags of the mean, the mean of the seven days
 before, the previous day's count and deviation, and the calendar.
@@ -6,16 +6,25 @@ before, the previous day's count and deviation, and the calendar.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from moodtide.functions.dates import DAY_FORMAT, calendar_parts, parse_day, shift_day
 from moodtide.functions.numbers import clamp_score
+from moodtide.operators.forest import Forest, grow_forest, walked
 from moodtide.operators.series import MOVING_DAYS, by_day, split_mark
 from moodtide.storage import store
 
+# Python workers need only what Spark ships to them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MODEL_FEATURES = [
     "sentiment_lag_1",
     "sentiment_lag_2",
@@ -30,10 +39,6 @@ TREES = 50
 DEPTH = 10
 SEED = 42
 
-# A forest draws its samples partition by partition: a fixed, sorted layout makes the fit the same on
-# every cluster. Training rows are one per series and day.
-FIT_PARTITIONS = 8
-
 # Steps whose plans are stacked before the state is written and read back.
 STACKED_STEPS = 5
 
@@ -70,35 +75,22 @@ def scaling_stages() -> Pipeline:
     )
 
 
-def forest_pipeline(
-    trees: int = TREES, depth: int = DEPTH, seed: int = SEED, bootstrap: bool = True, subset: str = "auto"
-) -> Pipeline:
-    return Pipeline(
-        stages=[
-            *scaling_stages().getStages(),
-            RandomForestRegressor(
-                featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed,
-                bootstrap=bootstrap, featureSubsetStrategy=subset,
-            ),
-        ]
-    )
+def train_rows(rows: DataFrame) -> DataFrame:
+    """The training days of all series that have their history."""
+    return with_history(rows).filter("is_train").select("series", "date", "label", *MODEL_FEATURES)
 
 
-def train_rows(rows: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The training days of all series, in ``partitions`` partitions by series and date, sorted.
+def fit_forest(
+    rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, bootstrap: bool = True, subset: str = "auto"
+) -> Forest:
+    """Fit a forest on the training days of all series. ``rows`` should be a stored table.
 
-    ``partitions`` is part of the model: another number gives another forest. Raise it for very many series.
+    Trees split on order alone, so the features are not scaled first: the forest would be the same.
     """
-    train = with_history(rows).filter("is_train").repartition(partitions, "series", "date")
-    return train.sortWithinPartitions("series", "date").select("label", *MODEL_FEATURES)
-
-
-def fit_forest(rows: DataFrame, partitions: int = FIT_PARTITIONS, **settings: int) -> PipelineModel:
-    """Fit scaler and forest on the training days of all series. ``rows`` should be a stored table."""
-    return forest_pipeline(**settings).fit(train_rows(rows, partitions))
+    return grow_forest(train_rows(rows), MODEL_FEATURES, ["series", "date"], trees, depth, seed, bootstrap, subset)
 
 
-def predict_test_days(rows: DataFrame, model: PipelineModel) -> DataFrame:
+def predict_test_days(rows: DataFrame, model: Forest | Transformer) -> DataFrame:
     test = with_history(rows).filter(~F.col("is_train"))
     return model.transform(test).select("series", "date", "label", "prediction")
 
@@ -116,7 +108,7 @@ def forecast_start(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series").agg(F.max_by(state, "date").alias("state")).select("series", "state.*")
 
 
-def forecast(rows: DataFrame, model: Transformer, horizon: int = 30) -> DataFrame:
+def forecast(rows: DataFrame, model: Forest | Transformer, horizon: int = 30) -> DataFrame:
     """``horizon`` consecutive days after the last one of every series, all series at once.
 
     ``model`` is anything that adds ``prediction`` to rows with the model features.
@@ -148,3 +140,49 @@ def forecast(rows: DataFrame, model: Transformer, horizon: int = 30) -> DataFram
         F.date_format("point.day", DAY_FORMAT).alias("date"),
         clamp_score(F.col("point.value")).alias("predicted_sentiment"),
     )
+
+
+def forecast_in_tasks(rows: DataFrame, model: Forest, horizon: int = 30) -> DataFrame:
+    """The same as ``forecast`` for a forest, in one stage: its arrays travel to the tasks, each of which
+    advances its series, one row each, through all steps at once."""
+    shipped = rows.sparkSession.sparkContext.broadcast((model.feature, model.threshold, model.value))
+    width = MOVING_DAYS
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            n = len(part)
+            held = np.array([min(len(r), width) for r in part["recent"]], np.int64)
+            recent = np.zeros((n, width))
+            for i, values in enumerate(part["recent"]):
+                recent[i, : held[i]] = values[:width]
+            day = part["last_date"].to_numpy().astype("datetime64[D]")
+            lag1, lag2 = part["sentiment_lag_1"].to_numpy(float), part["sentiment_lag_2"].to_numpy(float)
+            count, deviation = part["post_count_lag_1"].to_numpy(float), part["sentiment_std_lag_1"].to_numpy(float)
+            days, path = np.empty((n, horizon), "datetime64[D]"), np.empty((n, horizon))
+            for step in range(horizon):
+                day = day + 1
+                total = np.zeros(n)
+                for k in range(width):
+                    total += np.where(k < held, recent[:, k], 0.0)
+                month = day.astype("datetime64[M]").astype(np.int64)
+                calendar = (day.astype(np.int64) + 4) % 7 + 1, month % 12 + 1, month // 12 + 1970
+                x = np.column_stack([lag1, lag2, total / held, count, deviation, *calendar])
+                value = walked(*shipped.value, x)
+                days[:, step], path[:, step] = day, value
+                lag1, lag2 = value, lag1
+                recent = np.column_stack([value, recent[:, :-1]])
+                held = np.minimum(held + 1, width)
+            yield pd.DataFrame(
+                {
+                    "series": np.repeat(part["series"].to_numpy(), horizon),
+                    "day": days.ravel().astype("datetime64[ms]"),
+                    "value": path.ravel(),
+                }
+            )
+
+    start = forecast_start(rows).withColumn("last_date", F.col("last_date").cast("timestamp_ntz"))
+    kind = rows.schema["series"].dataType.simpleString()
+    steps = start.mapInPandas(run, f"series {kind}, day timestamp_ntz, value double")
+    return steps.select(
+        "series", F.date_format("day", DAY_FORMAT).alias("date"), clamp_score(F.col("value")).alias("predicted_sentiment")
+    )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 
-from moodtide.operators.forecast import fit_forest, forecast, model_rows, predict_test_days, with_history
+from moodtide.operators.forecast import fit_forest, forecast_in_tasks, model_rows, predict_test_days, with_history
+from moodtide.operators.forest import Forest
 from moodtide.operators.series import daily_series, forecast_quality
 from moodtide.schemas import REPORTS
 from moodtide.storage import store
@@ -15,7 +15,7 @@ from moodtide.storage import store
 
 @dataclass(frozen=True)
 class Trend:
-    model: PipelineModel | None
+    model: Forest | None
     evaluation: DataFrame
     future: DataFrame
 
@@ -24,8 +24,7 @@ def stored_model_rows(
     scored: DataFrame, series: str | Column | None = None, test_size: float = 0.2, zone: str | None = None
 ) -> DataFrame:
     """Daily rows written once: every tree level reads them, and the scored records only here."""
-    daily = daily_series(scored, series, zone)
-    return store(model_rows(daily, test_size), "daily")
+    return store(model_rows(daily_series(scored, series, zone), test_size), "daily")
 
 
 def forecast_trend(
@@ -40,13 +39,18 @@ def forecast_trend(
     ``scored`` has sentiment_score and create_time (epoch seconds); without a series key the whole
     table is one series. Without a training day that has both lags the result tables are empty.
     """
-    rows = stored_model_rows(scored, series, test_size, zone)
+    return forecast_daily(daily_series(scored, series, zone), horizon, test_size)
+
+
+def forecast_daily(daily: DataFrame, horizon: int = 30, test_size: float = 0.2) -> Trend:
+    """The same from daily rows."""
+    rows = store(model_rows(daily, test_size), "daily")
     if with_history(rows).filter("is_train").isEmpty():
         nothing = [
-            scored.sparkSession.createDataFrame([], REPORTS[name])
+            daily.sparkSession.createDataFrame([], REPORTS[name])
             for name in ("sentiment_trend_evaluation", "sentiment_trend_predictions")
         ]
         return Trend(None, *nothing)
     model = fit_forest(rows)
     evaluation = forecast_quality(predict_test_days(rows, model), "label", "prediction")
-    return Trend(model, evaluation, forecast(rows, model, horizon))
+    return Trend(model, evaluation, forecast_in_tasks(rows, model, horizon))

@@ -1,12 +1,14 @@
 import datetime
 import math
+import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from moodtide.operators import forecast, series
+from moodtide.operators import forecast, forest, series
 from moodtide.plans.trend import forecast_trend, stored_model_rows
 from tests.conftest import plan_of, values
 
@@ -155,7 +157,73 @@ def test_same_seed_same_forecast(rows, model):
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_layout_of_the_rows_does_not_matter(rows, model, partitions):
     again = forecast.fit_forest(rows.repartition(partitions, "date"), trees=5)
-    assert values(forecast.forecast(rows, again, 3)) == values(forecast.forecast(rows, model, 3))
+    for name in ("feature", "threshold", "value"):
+        assert (getattr(again, name) == getattr(model, name)).all()
+
+
+def test_forecast_in_tasks_equals_forecast(spark, rows, model):
+    got = values(forecast.forecast_in_tasks(rows, model, 40))
+    assert len(got) == 80 and got == values(forecast.forecast(rows, model, 40))
+    short = spark.createDataFrame([("one", 0.4, START), ("two", 0.4, START), ("two", 0.6, START + DAY)], "k string, sentiment_score double, create_time long")
+    starts = forecast.model_rows(series.daily_series(short, "k"))
+    assert values(forecast.forecast_in_tasks(starts, model, 9)) == values(forecast.forecast(starts, model, 9))
+    nothing = rows.filter("series = 'nobody'")
+    assert forecast.forecast_in_tasks(nothing, model, 3).count() == 0
+    assert plan_of(forecast.forecast_in_tasks(rows, model, 40)).count("Exchange hashpartitioning") == 1
+
+
+def tree_by_hand(rows, names, thresholds, depth):
+    """A tree of dictionaries, grown row by row: the first of the best splits."""
+    mean = sum(w * y for _, y, w in rows) / sum(w for *_, w in rows)
+    error = lambda part: sum(w * y for _, y, w in part) ** 2 / sum(w for *_, w in part)
+    best = None
+    for f in range(len(names)):
+        for t in thresholds[f]:
+            sides = [r for r in rows if r[0][f] <= t], [r for r in rows if r[0][f] > t]
+            if all(sides) and (best is None or error(sides[0]) + error(sides[1]) > best[0] + 1e-9):
+                best = error(sides[0]) + error(sides[1]), f, t, sides
+    if depth == 0 or best is None or best[0] <= error(rows) + 1e-9:
+        return mean
+    return best[1], best[2], *(tree_by_hand(side, names, thresholds, depth - 1) for side in best[3])
+
+
+def test_tree_equals_one_grown_by_hand(spark):
+    rng = random.Random(5)
+    data = [(f"k{i}", float(rng.randrange(7)), rng.random(), rng.random() ** 2) for i in range(60)]
+    train = spark.createDataFrame(data, "k string, a double, b double, label double").repartition(3)
+    model = forest.grow_forest(train, ["a", "b"], ["k"], 1, 3, 1, bootstrap=False)
+    ends = [(min(r[i] for r in data), max(r[i] for r in data)) for i in (1, 2)]
+    low, high = ({n: e[k] for n, e in zip("ab", ends)} for k in (0, 1))
+    thresholds = [t.tolist() for t in forest.grid_thresholds(train, low, high, ["a", "b"], 60)]
+    by_hand = tree_by_hand([((a, b), y, 1) for _, a, b, y in data], ["a", "b"], thresholds, 3)
+
+    def answer(tree, x):
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    tests = [(rng.uniform(-1, 8), rng.random()) for _ in range(300)]
+    got = model.predict(np.array(tests))
+    assert all(math.isclose(g, answer(by_hand, x), abs_tol=1e-6) for g, x in zip(got, tests))
+
+
+def test_forest_finds_a_rule(spark):
+    """Bagged trees with feature subsets on a rule with noise: well below the deviation of the labels."""
+    rng = random.Random(6)
+    data = [(f"k{i}", *(x := [rng.random() for _ in range(5)]), (x[0] > 0.5) * 0.6 + 0.3 * x[1] + 0.02 * rng.random()) for i in range(600)]
+    names = list("abcde")
+    df = spark.createDataFrame(data, "k string, " + ", ".join(f"{n} double" for n in names) + ", label double")
+    model = forest.grow_forest(df.filter("pmod(crc32(k), 3) > 0"), names, ["k"], 30, 6, 3)
+    quality = series.forecast_quality(model.transform(df.filter("pmod(crc32(k), 3) = 0")), "label", "prediction").first()
+    assert quality["r2"] > 0.9
+
+
+def test_poisson_weights():
+    weights = forest.poisson_weights(np.arange(200_000), 3, 7)
+    shares = np.bincount(weights)[:4] / len(weights)
+    assert np.allclose(shares, [math.exp(-1) / math.factorial(k) for k in range(4)], atol=0.005)
+    other = forest.poisson_weights(np.arange(200_000), 4, 7)
+    assert abs(np.corrcoef(weights, other)[0, 1]) < 0.01
 
 
 def test_forecast_dates(spark):
