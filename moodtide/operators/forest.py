@@ -5,7 +5,7 @@ key and the tree. Labels are counted in fixed point, so every sum is exact whate
 split on are drawn from a hash of tree and node. The forest is therefore the same for any layout of the rows.
 
 One Spark job grows one level of all trees: tasks send the sums by (tree, node, feature, bin), which are added up by
-Spark, and each tree's best splits are found in one task. Thresholds are the edges of an even grid of ``GRID`` cells at the
+Spark, and the best splits of some trees are found in one task. Thresholds are the edges of an even grid of ``GRID`` cells at the
 ``BINS``-quantiles. What passes the driver is bounded by the model: its nodes, and ``GRID`` counts per feature.
 """
 
@@ -157,9 +157,23 @@ def level_sums(rows: DataFrame, plan: dict, open_nodes: dict[int, np.ndarray]) -
     return partial.groupBy("tree", "node", "feature", "bin").agg(F.sum("weight").alias("weight"), F.sum("total").alias("total"))
 
 
+# Trees whose splits are found in one task, and nodes looked at together there.
+TASK_TREES, TASK_NODES = 16, 2048
+
+
 def best_splits(sums: pd.DataFrame) -> pd.DataFrame:
-    """The split of each node of one tree that lowers the squared error most; ties go to the first feature, then bin."""
-    nodes, place = np.unique(sums["node"].to_numpy(), return_inverse=True)
+    """The best split of each node of some trees, ``TASK_NODES`` nodes at a time."""
+    sums = sums.sort_values(["tree", "node"])
+    tree, node = sums["tree"].to_numpy(), sums["node"].to_numpy()
+    first = np.flatnonzero(np.append(True, (np.diff(tree) != 0) | (np.diff(node) != 0)))
+    ends = [*first[::TASK_NODES].tolist(), len(sums)]
+    return pd.concat([node_splits(sums.iloc[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)])
+
+
+def node_splits(sums: pd.DataFrame) -> pd.DataFrame:
+    """The split of each node that lowers the squared error most; ties go to the first feature, then bin."""
+    pairs, place = np.unique(sums[["tree", "node"]].to_numpy(), axis=0, return_inverse=True)
+    trees, nodes = pairs.T
     features = int(sums["feature"].max()) + 1
     dense = np.zeros((2, len(nodes), features, BINS), np.int64)
     for k, name in enumerate(("weight", "total")):
@@ -180,8 +194,7 @@ def best_splits(sums: pd.DataFrame) -> pd.DataFrame:
     sides = {f"{name}_{side}": s[k][picked] for side, s in (("left", left), ("right", right)) for k, name in enumerate(("weight", "total"))}
     # Nodes that stay leaves are told with their whole sum, as the left side.
     sides = {name: np.where(split, v, {"weight_left": weight, "total_left": total}.get(name, 0)) for name, v in sides.items()}
-    tree = sums["tree"].iloc[0]
-    return pd.DataFrame({"tree": tree, "node": nodes, "feature": np.where(split, picked[1], -1), "bin": picked[2], "gain": gain, **sides})
+    return pd.DataFrame({"tree": trees, "node": nodes, "feature": np.where(split, picked[1], -1), "bin": picked[2], "gain": gain, **sides})
 
 
 def grow_forest(
@@ -213,7 +226,7 @@ def grow_forest(
         if not open_nodes or level == depth > 0:
             break
         sums = level_sums(rows, plan | {"feature": feature, "split": split}, open_nodes)
-        found = sums.groupBy("tree").applyInPandas(best_splits, SPLITS).toPandas()
+        found = sums.groupBy(F.floor(F.col("tree") / TASK_TREES)).applyInPandas(best_splits, SPLITS).toPandas()
         if level == 0:
             whole = found["weight_left"] + found["weight_right"]
             value[found["tree"], 1] = mean(found["total_left"] + found["total_right"], whole)
