@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalogue.bindings import COMMENTS_SQL, ZONE, comments, notes, polarity_model, posts, table
+from catalogue.bindings import COMMENTS_SQL, ZONE, comments, notes, polarity_model, posts, r6, table
 from catalogue.registry import register
 from catalogue.text_queries import POST_SCORES_SQL, UNION_SCORES_SQL
 from moodtide.operators import filters
@@ -79,6 +79,63 @@ def notes_flow(spark: SparkSession, folder: str) -> DataFrame:
     return _totals(spark, path, [name for name in REPORTS if name not in POST_REPORTS])
 
 
+# Where the key, class, count and score of each report stand; NULL where it has none.
+SHOWN = {
+    "note_comment_stats": ("note_id", "title", "actual_comment_count", None),
+    "comment_daily_distribution": ("comment_date", None, "num_comments", None),
+    "tag_frequency": ("tag", None, "tag_count", None),
+    "top_tags_for_wordcloud": ("tag", None, "tag_count", None),
+    "combined_sentiment_distribution": (None, "sentiment_category", "count", "avg_score"),
+    "combined_sentiment_over_time": ("date", "sentiment_category", "count", None),
+    "combined_sentiment_by_location": ("ip_location", "sentiment_category", "count", None),
+    "combined_sentiment_by_location_sample": ("ip_location", "sentiment_category", "count", None),
+    "combined_sentiment_sample_details": ("id", "sentiment_category", "create_time", "sentiment_score"),
+}
+
+
+@register(f"""WITH {UNION_SCORES_SQL}, comment_counts AS (
+  SELECT note_id, count(*) AS n FROM valid_comments GROUP BY 1
+), tags AS (
+  SELECT lower(trim(piece)) AS tag, count(*) AS n
+  FROM (SELECT unnest(string_split(trim(tag_list), ',')) AS piece FROM valid_notes WHERE trim(tag_list) <> '')
+  WHERE trim(piece) <> '' GROUP BY 1
+), places AS (
+  SELECT ip_location, sentiment_category, count(*) AS n FROM opinions WHERE trim(ip_location) <> '' GROUP BY ALL
+), values_ AS (
+  SELECT 'note_comment_stats' AS report, note_id AS key, title AS category, coalesce(n, 0) AS amount, CAST(NULL AS DOUBLE) AS score
+  FROM valid_notes LEFT JOIN comment_counts USING (note_id)
+  UNION ALL SELECT 'comment_daily_distribution', {DAY_SQL}, NULL, count(*), NULL
+  FROM (SELECT create_time // 1000 AS create_time FROM valid_comments) GROUP BY 2
+  UNION ALL SELECT 'tag_frequency', tag, NULL, n, NULL FROM tags
+  UNION ALL SELECT 'top_tags_for_wordcloud', tag, NULL, n, NULL FROM (SELECT * FROM tags ORDER BY n DESC, tag LIMIT {TOP_TAG_ROWS})
+  UNION ALL SELECT 'combined_sentiment_distribution', NULL, sentiment_category, count(*), {r6('avg(sentiment_score)')} FROM opinions GROUP BY 3
+  UNION ALL SELECT 'combined_sentiment_over_time', {DAY_SQL}, sentiment_category, count(*), NULL FROM opinions GROUP BY 2, 3
+  UNION ALL SELECT 'combined_sentiment_by_location', ip_location, sentiment_category, n, NULL FROM places
+  UNION ALL SELECT 'combined_sentiment_by_location_sample', ip_location, sentiment_category, n, NULL
+  FROM (SELECT * FROM places ORDER BY n DESC, ip_location, sentiment_category LIMIT {TOP_LOCATION_ROWS})
+  UNION ALL SELECT 'combined_sentiment_sample_details', id, sentiment_category, create_time, {r6('sentiment_score')}
+  FROM (SELECT * FROM opinions ORDER BY type, id, create_time, text LIMIT {DETAIL_SAMPLE_ROWS})
+)
+SELECT report, key, category, CAST(amount AS BIGINT) AS amount, score FROM values_""")
+def notes_flow_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of every report of the notes flow but the forecast's, read back."""
+    path = scratch_path(spark, "notes_flow_values")
+    analyse_notes(notes(spark, folder), comments(spark, folder), polarity_model(spark, folder), path, zone=ZONE)
+    tables, missing = files.read_reports(spark, path, list(SHOWN))
+    if missing:
+        raise ValueError(f"reports {missing} were not written")
+    result = None
+    for name, columns in SHOWN.items():
+        shown = [F.lit(None) if c is None else F.col(c) for c in columns]
+        kinds = ("string", "string", "long", "double")
+        key, category, amount, score = (c.cast(kind) for c, kind in zip(shown, kinds, strict=True))
+        part = tables[name].select(
+            F.lit(name).alias("report"), key.alias("key"), category.alias("category"), amount.alias("amount"), F.round(score, 6).alias("score")
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 @register(f"""WITH {COMMENTS_SQL}
 SELECT false AS analysed, count(*) AS valid_rows FROM valid_comments WHERE create_time < 0""")
 def notes_flow_empty(spark: SparkSession, folder: str) -> DataFrame:

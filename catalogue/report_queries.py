@@ -28,7 +28,7 @@ from catalogue.bindings import (
 from catalogue.registry import register
 from moodtide.functions.classes import opinion_class
 from moodtide.functions.numbers import clamp_score as clamped
-from moodtide.operators import filters, reports
+from moodtide.operators import cube, filters, reports
 from moodtide.schemas import POST_SAMPLE_ROWS, TOP_TAG_ROWS
 from moodtide.sources import views
 from moodtide.storage import store
@@ -238,3 +238,60 @@ SELECT platform, sentiment_category, count(*) AS "rows" FROM scored GROUP BY ALL
 def ordered_report(spark: SparkSession, folder: str) -> DataFrame:
     counts = reports.class_counts(scored_events(spark, folder), "platform")
     return reports.ordered(reports.renamed(counts, {"count": "rows"}), platform="asc", rows="desc")
+
+
+def _placed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored events with a place made of the user: missing and blank for some."""
+    user = F.col("user_id") % 7
+    place = F.when(user == 0, " ").when(user > 1, F.concat(F.lit("place "), user.cast("string")))
+    return scored_events(spark, folder).withColumn("ip_location", place)
+
+
+@register(f"""WITH {SCORED_SQL}, placed AS (
+  SELECT *, CASE WHEN user_id % 7 = 0 THEN ' ' WHEN user_id % 7 > 1 THEN 'place ' || user_id % 7 END AS ip_location,
+         platform AS series FROM scored
+)
+SELECT CASE grouping_id(sentiment_category, platform, "date", ip_location, series)
+         WHEN 15 THEN 'class' WHEN 7 THEN 'platform' WHEN 11 THEN 'day' WHEN 13 THEN 'place' ELSE 'series' END AS report,
+       sentiment_category, platform, "date", ip_location, series, count(*) AS "count", count(sentiment_score) AS scored,
+       {r6('avg(sentiment_score)')} AS avg_score, {r6('stddev_samp(sentiment_score)')} AS score_std
+FROM placed GROUP BY GROUPING SETS ((sentiment_category), (platform, sentiment_category), ("date", sentiment_category),
+                                    (ip_location, sentiment_category), (series, "date"))""")
+def report_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of five reports from one pass over the scored events."""
+    counts = cube.report_cube(_placed_events(spark, folder), list(cube.KEYS), "platform", ZONE)
+    return rounded(counts, "avg_score", "score_std")
+
+
+@register(f"""WITH {SCORED_SQL}, placed AS (
+  SELECT *, CASE WHEN user_id % 7 = 0 THEN ' ' WHEN user_id % 7 > 1 THEN 'place ' || user_id % 7 END AS ip_location FROM scored
+)
+SELECT 'class' AS report, sentiment_category AS key, sentiment_category AS category, count(*) AS amount, {r6('avg(sentiment_score)')} AS score
+FROM placed GROUP BY ALL
+UNION ALL SELECT 'platform', platform, sentiment_category, count(*), NULL FROM placed GROUP BY ALL
+UNION ALL SELECT 'day', "date", sentiment_category, count(*), NULL FROM placed GROUP BY ALL
+UNION ALL SELECT 'place', ip_location, sentiment_category, count(*), NULL FROM placed WHERE trim(ip_location) <> '' GROUP BY ALL
+UNION ALL SELECT 'series', platform, "date", count(*), {r6('avg(sentiment_score)')} FROM placed WHERE sentiment_score IS NOT NULL GROUP BY ALL""")
+def reports_from_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Every report as it is read off the stored cube, against plain groupings."""
+    counts = store(cube.report_cube(_placed_events(spark, folder), list(cube.KEYS), "platform", ZONE), "report_cube")
+    kind = reports.CLASS
+    parts = [
+        ("class", cube.class_distribution(counts), kind, kind, "count", F.col("avg_score")),
+        ("platform", cube.platform_class_counts(counts), "platform", kind, "count", None),
+        ("day", cube.class_by_day(counts), "date", kind, "count", None),
+        ("place", cube.class_by_location(counts), "ip_location", kind, "count", None),
+        ("series", cube.daily_series(counts), "series", "date", "post_count", F.col("avg_sentiment")),
+    ]
+    none = F.lit(None).cast("double")
+    shown = [
+        df.select(
+            F.lit(name).alias("report"), F.col(key).alias("key"), F.col(category).alias("category"), F.col(amount).alias("amount"),
+            F.round(none if score is None else score, 6).alias("score"),
+        )
+        for name, df, key, category, amount, score in parts
+    ]
+    result = shown[0]
+    for part in shown[1:]:
+        result = result.unionByName(part)
+    return result

@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from moodtide.operators import cube
 from moodtide.operators.filters import repair_counts, require_columns, valid_comments, valid_notes
 from moodtide.operators.polarity import score_text
 from moodtide.operators.records import text_union
-from moodtide.operators.reports import (
-    class_by_day,
-    class_by_location,
-    class_distribution,
-    comments_per_day,
-    note_comment_stats,
-    tag_frequency,
-    top_rows,
-)
-from moodtide.plans.trend import forecast_trend
+from moodtide.operators.reports import comments_per_day, note_comment_stats, tag_frequency, top_rows
+from moodtide.plans.trend import forecast_daily
 from moodtide.schemas import COMMENTS, DETAIL_SAMPLE_ROWS, NOTES, REPORTS, TOP_LOCATION_ROWS, TOP_TAG_ROWS
 from moodtide.sources.writers import write_report, write_sample, write_table
 from moodtide.storage import store
@@ -74,9 +67,11 @@ def _scored_reports(
     write_table(scored, f"{folder}/scored", "sentiment_category")
     scored = texts.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
 
-    write_report(class_distribution(scored), f"{folder}/combined_sentiment_distribution")
-    write_report(class_by_day(scored, zone), f"{folder}/combined_sentiment_over_time")
-    by_location = store(class_by_location(scored), "by_location")
+    # One pass over the scored rows for all counts and the daily series.
+    counts = store(cube.report_cube(scored, zone=zone), "report_cube")
+    write_report(cube.class_distribution(counts), f"{folder}/combined_sentiment_distribution")
+    write_report(cube.class_by_day(counts), f"{folder}/combined_sentiment_over_time")
+    by_location = cube.class_by_location(counts)
     write_report(by_location, f"{folder}/combined_sentiment_by_location")
     largest = top_rows(by_location, TOP_LOCATION_ROWS, "count", "ip_location", "sentiment_category")
     write_report(largest, f"{folder}/combined_sentiment_by_location_sample")
@@ -85,6 +80,6 @@ def _scored_reports(
     details = scored.select(REPORTS["combined_sentiment_sample_details"].names)
     write_sample(details, f"{folder}/combined_sentiment_sample_details", DETAIL_SAMPLE_ROWS, *DETAIL_ORDER)
 
-    trend = forecast_trend(scored, None, horizon, test_size, zone)
+    trend = forecast_daily(cube.daily_series(counts), horizon, test_size)
     write_report(trend.future.orderBy("series", "date"), f"{folder}/sentiment_trend_predictions")
     write_report(trend.evaluation, f"{folder}/sentiment_trend_evaluation")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from moodtide.operators import cube
 from moodtide.operators.filters import nonempty_posts, require_columns
 from moodtide.operators.polarity import score_text
-from moodtide.operators.reports import class_distribution, counting, platform_class_counts
+from moodtide.operators.reports import counting
 from moodtide.schemas import POST_SAMPLE_ROWS
 from moodtide.sources.writers import write_report, write_table
+from moodtide.storage import store
 
 
 def analyse_posts(posts: DataFrame, model: DataFrame, folder: str) -> dict[str, int]:
@@ -23,8 +25,9 @@ def analyse_posts(posts: DataFrame, model: DataFrame, folder: str) -> dict[str,
     write_table(watched, table)
     scored = posts.sparkSession.read.schema(watched.schema).parquet(table)
 
-    write_report(class_distribution(scored), f"{folder}/sentiment_distribution")
-    write_report(platform_class_counts(scored), f"{folder}/platform_sentiment")
+    counts = store(cube.report_cube(scored, ["class", "platform"]), "report_cube")
+    write_report(cube.class_distribution(counts), f"{folder}/sentiment_distribution")
+    write_report(cube.platform_class_counts(counts), f"{folder}/platform_sentiment")
     sample = scored.select("id", "text", "sentiment_score", "sentiment_category", "platform")
     first = sample.orderBy("id", "text").limit(POST_SAMPLE_ROWS).drop("id")
     write_report(first, f"{folder}/sentiment_sample")
