@@ -146,48 +146,6 @@ def frequent_tokens(model: DataFrame, limit: int) -> DataFrame:
     return short.filter(F.lit(False) if floor is None else F.col("occurrences") >= floor)
 
 
-def _sums_with_split_model(
-    pieces: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int
-) -> DataFrame:
-    """Frequent tokens by broadcast, the rest by a salted shuffle join.
-
-    After the first join each text holds one row for all its frequent tokens and one per distinct
-    rare token. Rows that need no second join get a wide salt of their own, so neither the NULL key
-    nor a token that is rare in training but common here lands in one task.
-    """
-    head = frequent_tokens(model, head_rows)
-    head_weights = F.broadcast(head.select(F.col("token").alias("_token"), F.col("weight").alias("_weight")))
-
-    spread = F.xxhash64(*group)
-    rest = F.when(F.col("_weight").isNull() & (F.col("_token") != ""), F.col("_token"))
-    first = (
-        pieces.join(head_weights, "_token", "left")
-        .groupBy(*group, rest.alias("_rest"))
-        .agg(
-            F.sum("_weight").alias("_total"),
-            F.count("_weight").alias("_known"),
-            F.count("*").alias("_times"),
-            F.count_if("_first").alias("_copies"),
-        )
-        .withColumn("_salt", F.when(F.col("_rest").isNull(), spread).otherwise(F.pmod(spread, F.lit(salts))))
-    )
-    tail = model.select(
-        F.col("token").alias("_rest"),
-        F.col("weight").alias("_rest_weight"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
-    )
-    found = F.col("_rest_weight").isNotNull()
-    return (
-        first.join(tail.hint("merge"), ["_rest", "_salt"], "left")
-        .groupBy(*group)
-        .agg(
-            F.sum(F.when(found, F.col("_rest_weight") * F.col("_times")).otherwise(F.col("_total"))).alias("_total"),
-            F.sum(F.when(found, F.col("_times")).otherwise(F.col("_known"))).alias("_known"),
-            F.sum("_copies").alias("_copies"),
-        )
-    )
-
-
 def _sums_with_split_model(
     pieces: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int
 ) -> DataFrame:
