@@ -11,6 +11,7 @@ from moodtide.operators.records import text_union
 from moodtide.operators.reports import comments_per_day, note_comment_stats, tag_frequency, top_rows
 from moodtide.plans.trend import forecast_daily
 from moodtide.schemas import COMMENTS, DETAIL_SAMPLE_ROWS, NOTES, REPORTS, TOP_LOCATION_ROWS, TOP_TAG_ROWS
+from moodtide.sources.generations import new_generation, publish
 from moodtide.sources.writers import write_report, write_sample, write_table
 from moodtide.storage import store
 
@@ -34,12 +35,12 @@ def analyse_notes(
     test_size: float = 0.2,
     zone: str | None = None,
 ) -> bool:
-    """Write all reports of the flow; False when there is nothing to analyse.
+    """Write all reports of the flow as a new set of ``folder``; False, and no new set, when there is nothing to analyse.
 
     The cleaned tables are written once and re-read, so a database source is scanned a single time
     and a lost executor costs a file read.
     """
-    spark = notes.sparkSession
+    spark, top, folder = notes.sparkSession, folder, new_generation(folder)
     clean_notes, clean_comments = clean_tables(notes, comments)
     write_table(clean_notes, f"{folder}/notes")
     write_table(clean_comments, f"{folder}/comments")
@@ -57,6 +58,7 @@ def analyse_notes(
     texts = text_union(clean_notes, clean_comments)
     if not texts.isEmpty():
         _scored_reports(texts, model, folder, horizon, test_size, zone)
+    publish(spark, top, folder)
     return True
 
 

@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from moodtide.schemas import NULL_LIKE, NULL_MARK, POSTS, REPORTS
-
-# Spark's name for the error of a path that does not exist.
-MISSING_PATH = "PATH_NOT_FOUND"
+from moodtide.sources.generations import MISSING_PATH, current
 
 
 def read_csv(
@@ -94,8 +92,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> tuple[D
 def read_reports(
     spark: SparkSession, folder: str, names: list[str] | None = None
 ) -> tuple[dict[str, DataFrame], list[str]] | None:
-    """Named reports of a folder and the names that are missing; None when none is there."""
+    """Named reports of a folder and the names that are missing; None when none is there.
+
+    Of a folder with a manifest the reports of its last published set.
+    """
     tables, missing = {}, []
+    folder = current(spark, folder) or folder
     for name in names if names is not None else list(REPORTS):
         tables[name], found = read_or_empty(spark, f"{folder}/{name}", REPORTS[name])
         if not found:

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from moodtide.operators.polarity import fit_polarity_model
+from moodtide.plans import notes as plan
 from moodtide.plans.notes import analyse_notes, clean_tables
 from moodtide.plans.posts import analyse_posts
 from moodtide.schemas import COMMENTS, NOTES, POSTS, REPORTS
 from moodtide.sources import files, jdbc, views, writers
 from moodtide.operators import reports
+from moodtide.sources.generations import current, manifest
 from moodtide.storage import SHARED_FOLDER, shared_folder, store
 from tests.conftest import plan_of, values
 
@@ -184,6 +186,29 @@ def test_notes_flow(spark, tables, model, tmp_path):
     assert read["sentiment_trend_evaluation"].count() == 1
 
 
+def test_a_flow_that_fails_leaves_the_old_set_whole(spark, tables, model, tmp_path, monkeypatch):
+    folder, notes, comments = str(tmp_path), *tables
+    assert files.read_reports(spark, folder) is None
+    assert analyse_notes(notes, comments, model, folder, horizon=3)
+    before = {name: values(df) for name, df in files.read_reports(spark, folder)[0].items()}
+    fewer = comments.filter("note_id = 'n1'")
+
+    def failing(df, path, **settings):
+        if path.endswith("by_location"):
+            raise RuntimeError("lost")
+        writers.write_report(df, path, **settings)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(plan, "write_report", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            analyse_notes(notes, fewer, model, folder, horizon=3)
+    assert {name: values(df) for name, df in files.read_reports(spark, folder)[0].items()} == before
+    assert analyse_notes(notes, fewer, model, folder, horizon=3)
+    after = files.read_reports(spark, folder)[0]
+    assert after["comment_daily_distribution"].agg(F.sum("num_comments")).first()[0] == 2
+    assert manifest(spark, folder).count() == 2
+
+
 def test_notes_flow_without_rows(spark, model, tmp_path):
     empty = spark.createDataFrame([], NOTES), spark.createDataFrame([], COMMENTS)
     assert analyse_notes(*empty, model, str(tmp_path)) is False
@@ -191,7 +216,7 @@ def test_notes_flow_without_rows(spark, model, tmp_path):
 
 def test_posts_flow_without_rows(spark, model, tmp_path):
     assert analyse_posts(spark.createDataFrame([], POSTS), model, str(tmp_path)) == {"posts": 0}
-    assert spark.read.parquet(f"{tmp_path}/sentiment_results").count() == 0
+    assert spark.read.parquet(f"{current(spark, str(tmp_path))}/sentiment_results").count() == 0
 
 
 def test_notes_flow_with_too_few_days_to_train(spark, model, tmp_path):
@@ -213,7 +238,7 @@ def test_posts_flow(spark, model, tmp_path):
     ]
     assert read["platform_sentiment"].agg(F.sum("count")).first()[0] == 30
     assert read["sentiment_sample"].count() == 30
-    full = spark.read.parquet(f"{tmp_path}/sentiment_results")
+    full = spark.read.parquet(f"{current(spark, str(tmp_path))}/sentiment_results")
     assert full.columns == [*POSTS.names, "sentiment_score", "sentiment_category"] and full.count() == 30
 
 
