@@ -12,11 +12,12 @@ depends on source and size only, so each step is one aggregation of the counts b
 Rates become whole copies without drawing lots: sizes of a source are visited from the largest down,
 each takes the nearest whole number of copies and hands its error on to the next, so a source misses
 its target by about its smallest document at most. Inside one size the extra copies go to the lowest
-hashes of id and text. Reruns agree.
+hashes of id and text; rows equal in id, text and source are dealt with as one row with a count, so that
+they take no more than their part. Reruns agree.
 
 Defined cases: NULL and empty texts have size 0 and are kept once; a NULL source is a source of its
-own, the last one; rows equal in id, text and source share their number of copies; a source without
-words has target 0; an empty table gives an empty result; other columns are ignored.
+own, the last one; rows equal in id, text and source are documents of their own, whose copies differ by
+one at most; a source without words has target 0; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -69,8 +70,8 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float =
     )
 
 
-def counts_by_size(sized: DataFrame) -> DataFrame:
-    return sized.groupBy("source", "size").agg(F.count("*").alias("docs"))
+def counts_by_size(units: DataFrame) -> DataFrame:
+    return units.groupBy("source", "size").agg(F.sum("n").alias("docs"))
 
 
 def tilted(tilt: Column, size: Column, mean: Column) -> Column:
@@ -153,31 +154,33 @@ def whole_copies(rates: DataFrame) -> DataFrame:
     return rates.groupBy("source_no").applyInPandas(diffuse, COPIES)
 
 
-def deal_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """Copies per document: all of a group get the same, and the rest one more in order of a hash."""
+def deal_copies(units: DataFrame, plan: DataFrame) -> DataFrame:
+    """Copies of all rows of a unit (rows equal in id, text and source; ``n`` of them): rows of one group get the same
+    number of copies, and the rest of the group's one more in order of a hash."""
     hashed = F.xxhash64("doc_id", "_row")
     cells = F.ceil(F.col("docs") / CELL_ROWS)
     small = plan.count() <= BROADCAST_ROWS
-    placed = sized.join(F.broadcast(plan) if small else plan, ["source_no", "size"]).select(
+    placed = units.join(F.broadcast(plan) if small else plan, ["source_no", "size"]).select(
         "*", F.pmod(hashed, cells).alias("cell"), (F.col("copies") % F.col("docs")).alias("extra")
     )
     placed = placed.withColumn("each", F.floor(F.col("copies") / F.col("docs")))
     group = ["source_no", "size"]
     upto = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    held = placed.groupBy(*group, "cell").agg(F.count("*").alias("held"), F.first("extra").alias("extra"), F.first("docs").alias("docs"))
+    held = placed.groupBy(*group, "cell").agg(F.sum("n").alias("held"), F.first("extra").alias("extra"), F.first("docs").alias("docs"))
     share = lambda rows: F.floor(F.col("extra") * (rows / F.col("docs")))
     summed = F.sum("held").over(upto)
     quota = held.select(*group, "cell", (share(summed) - share(summed - F.col("held"))).alias("quota"))
     order = Window.partitionBy(*group, "cell").orderBy(F.xxhash64("_row", "doc_id"), "doc_id", "_row")
-    return placed.join(quota, [*group, "cell"]).withColumn(
-        "copies", (F.col("each") + (F.rank().over(order) <= F.col("quota")).cast("long")).cast("long")
-    )
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    more = F.greatest(F.lit(0), F.least("n", F.col("quota") - before))
+    return placed.join(quota, [*group, "cell"]).withColumn("copies", (F.col("each") * F.col("n") + more).cast("long"))
 
 
-def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """doc_id, source, _row (hash of the text), size, source_size, target, rate, copies per document."""
-    sized = store(documents.select("doc_id", "source", row_key().alias("_row"), word_count().alias("size")), "sizes")
-    counts = store(counts_by_size(sized), "size_counts")
+def dealt_units(documents: DataFrame, weights: Sequence[int], share: float) -> DataFrame:
+    """doc_id, source, _row, n (equal rows), size, source_size, target, copies of all n together."""
+    sized = documents.select("doc_id", "source", row_key().alias("_row"), word_count().alias("size"))
+    units = store(sized.groupBy("doc_id", "source", "_row", "size").agg(F.count("*").alias("n")), "sizes")
+    counts = store(counts_by_size(units), "size_counts")
     held = F.sum(F.col("size") * F.col("docs")).alias("source_size")
     worded = F.sum(F.when(F.col("size") > 0, F.col("docs")))
     sources = counts.groupBy("source").agg(
@@ -192,22 +195,46 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     rates = counts.join(tilts, "source_no").withColumn("rate", rate)
     plan = store(whole_copies(rates.select("source_no", "size", "docs", "rate")), "copies")
     small = sources.count() <= BROADCAST_ROWS
-    placed = sized.join(F.broadcast(named) if small else named, numbered).drop("_source")
+    placed = units.join(F.broadcast(named) if small else named, numbered).drop("_source")
     dealt = deal_copies(placed, plan)
     extras = sources.select("source_no", "source_size", "target")
     return dealt.join(F.broadcast(extras) if small else extras, "source_no").select(
-        "doc_id", "source", "_row", "size", "source_size", "target", "copies"
+        "doc_id", "source", "_row", "n", "size", "source_size", "target", "copies"
     )
 
 
+def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """doc_id, source, _row (hash of the text), size, source_size, target, copies: one row per document."""
+    dealt = dealt_units(documents, weights, share).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    own = F.floor(F.col("copies") / F.col("n")) + (F.col("i") <= F.col("copies") % F.col("n")).cast("long")
+    return dealt.select("doc_id", "source", "_row", "size", "source_size", "target", own.alias("copies"))
+
+
 def mixed_documents(documents: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The rows of the mix: every document as often as it has copies."""
+    """The rows of the mix: every document as often as it has copies.
+
+    What copies of equal rows do not divide by their number comes from one of the rows.
+    """
     key = ["doc_id", "source", "_row"]
-    decided = mix(documents, weights, share).filter("copies > 0").groupBy(*key).agg(F.first("copies").alias("_copies"))
-    named = decided.select(*(F.col(name).alias(f"_{name}_") for name in key), "_copies")
+    dealt = store(dealt_units(documents, weights, share).select(*key, "n", "copies"), "dealt_units")
     rows = packed(documents).withColumn("source", F.col("_document.source"))
-    on = F.lit(True)
-    for name in key:
-        on = on & F.col(name).eqNullSafe(F.col(f"_{name}_"))
-    taken = rows.join(named, on).select("_document", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return taken.select("_document.*")
+
+    def same_key(named: DataFrame):
+        on = F.lit(True)
+        for name in key:
+            on = on & F.col(name).eqNullSafe(named[f"_{name}_"])
+        return on
+
+    def taken(rows: DataFrame, times: DataFrame) -> DataFrame:
+        named = times.filter("times > 0").select(*(F.col(name).alias(f"_{name}_") for name in key), "times")
+        copies = F.explode(F.sequence(F.lit(1).cast("long"), "times"))
+        return rows.join(named, same_key(named)).select("_document", copies).select("_document.*")
+
+    mixed = taken(rows, dealt.withColumn("times", F.floor(F.col("copies") / F.col("n"))))
+    uneven = store(dealt.withColumn("times", F.col("copies") % F.col("n")).filter("times > 0"), "uneven_units")
+    few = uneven.count()
+    if few == 0:
+        return mixed
+    named = uneven.select(*(F.col(name).alias(f"_{name}_") for name in key))
+    named = F.broadcast(named) if few <= BROADCAST_ROWS else named
+    return mixed.unionByName(taken(rows.join(named, same_key(named), "left_semi").dropDuplicates(key), uneven))

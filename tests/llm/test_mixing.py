@@ -80,9 +80,10 @@ def test_messy_documents(spark, messy):
     for r in mixed.collect():
         given[tuple(r)] += 1
     assert set(given) <= {tuple(r) for r in rows}
-    # Empty texts are kept once; the three equal rows of document 8 share their number of copies.
+    # Empty texts are kept once; as many of the three equal rows of document 8 as the mix takes.
     assert given[next(tuple(r) for r in rows if r["doc_id"] == 6)] == 1
-    assert given[next(tuple(r) for r in rows if r["doc_id"] == 8)] % 3 == 0
+    eight = sum(r["copies"] for r in mixing.mix(messy).collect() if r["doc_id"] == 8)
+    assert given[next(tuple(r) for r in rows if r["doc_id"] == 8)] == eight
 
 
 def test_hot_source_and_equal_sizes(spark):
@@ -92,6 +93,20 @@ def test_hot_source_and_equal_sizes(spark):
     assert all(abs(taken[s] - t) <= 4 for s, t in expected.items())
 
 
+def test_equal_rows_meet_the_target(spark):
+    """Three sources of rows of ten words; the rows of one are equal in id and text."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a") for _ in range(300)] + [(i, f"{i} {text[4:]}", s) for s in "bc" for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    expected, taken = check(docs.collect(), got)
+    assert all(abs(taken[s] - t) <= 10 for s, t in expected.items())
+    mine = [r["copies"] for r in got if r["source"] == "a"]
+    assert max(mine) - min(mine) <= 1
+    held = mixing.mixed_documents(docs).groupBy("source").count().collect()
+    assert {r["source"]: 10 * r["count"] for r in held} == dict(taken)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "", "a"), (2, " ", "b")], [(1, "one", "a")]])
 def test_small_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
