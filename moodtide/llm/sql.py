@@ -26,11 +26,13 @@ WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), queries AS (
+  SELECT row_number() OVER () AS q, vec_id, v FROM (SELECT DISTINCT vec_id, v FROM vectors WHERE vec_id % 50 = 0)
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  SELECT q.q, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM queries q JOIN vectors c ON q.vec_id IS DISTINCT FROM c.vec_id
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS "rank"
   FROM scored
 )
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5

@@ -39,6 +39,7 @@ def test_equals_brute_force(spark):
 
 def test_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(pivots, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(pivots, "CHUNK_ROWS", 70)
     monkeypatch.setattr(pivots, "RUN", 4)
     rows = vectors(600, seed=1)
     assert found(spark, rows) == brute(rows)
@@ -57,6 +58,30 @@ def test_small_tables(spark, rows):
     assert found(spark, rows) == brute(rows)
 
 
+def test_repeated_queries(spark):
+    """Rows equal in id and vector are one query, other vectors of the id are queries of their own."""
+    rows = vectors(60, 4, seed=2)
+    other = [9.0, -9.0, 9.0, 9.0]
+    df = spark.createDataFrame([(i, v, 1, 2, "d", "v") for i, v in [*rows, rows[50], rows[50], (50, other)]], SCHEMA)
+    got = sorted(tuple(r) for r in pivots.top_k(df.repartition(3)).collect() if r["query_id"] == 50)
+
+    def best(vector):
+        a = [math.floor(256 * float(np.float32(v))) for v in vector]
+        held = [(i, [math.floor(256 * float(np.float32(v))) for v in b]) for i, b in rows if i != 50]
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in held)[:5]
+        return [(50, rank, i, -score) for rank, (score, i) in enumerate(scored, 1)]
+
+    assert got == sorted(best(rows[50][1]) + best(other))
+
+
+def test_extreme_ids_and_components(spark):
+    """The largest id is an id; vectors whose scores need not be exact take no part."""
+    top = 2**63 - 1
+    rows = [(0, [1.0, 1.0]), (top, [5.0, 5.0]), (None, [5.0, 5.0]), (3, [1e30, 1.0]), (4, [-3e38, 0.0]), (5, [2.0, 2.0])]
+    got = {(r["rank"], r["vec_id"], r["score"]) for r in pivots.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert got == {(1, top, 655360), (2, None, 655360), (3, 5, 262144)}
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     rows, pivot = rng.integers(-300, 300, (200, 16)).astype(float), rng.integers(-300, 300, (6, 16)).astype(float)
