@@ -111,13 +111,16 @@ class Names:
         """Names that are not known yet, in their order."""
         pair, lengths, hashes = self.numbers(names)
         order = np.argsort(hashes, kind="stable")
+        order = order[lengths[order] <= self.WIDTH]
         sorted_ = hashes[order]
         near = np.searchsorted(self.hashes, sorted_)
-        taken = np.append(False, sorted_[1:] == sorted_[:-1])
+        # Among short names alone: one in the dictionary is only looked for there if its hash stands here.
+        taken = np.zeros(len(order), bool)
+        taken[1:] = sorted_[1:] == sorted_[:-1]
         if len(self.hashes):
             taken |= self.hashes[np.minimum(near, len(self.hashes) - 1)] == sorted_
-        taken |= lengths[order] > self.WIDTH
-        for i, name in zip(order[taken].tolist(), names.take(pa.array(order[taken])).to_pylist(), strict=True):
+        others = np.append(np.flatnonzero(lengths > self.WIDTH), order[taken])
+        for i, name in zip(others.tolist(), names.take(pa.array(others)).to_pylist(), strict=True):
             self.others[name] = self.count + i
         order, near = order[~taken], near[~taken]
         self.hashes, self.at = np.insert(self.hashes, near, hashes[order]), np.insert(self.at, near, self.count + order)

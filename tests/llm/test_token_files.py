@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -50,6 +51,14 @@ def test_forgetting_changes_nothing():
     check(ODD)
 
 
+def test_long_and_short_pieces_of_one_hash():
+    """The hash is of the first 16 bytes and the length: a piece of 17 bytes shares it with one of 16."""
+    rng = random.Random(1)
+    FAST.forget()
+    check(["x xxxxxxxabcdefghz xxxxxxxbbcdefgh", "xxxxxxxbbcdefgh xxxxxxxabcdefghz"])
+    check([" ".join("".join(rng.choices("ab", k=rng.randint(13, 20))) for _ in range(60)) for _ in range(300)])
+
+
 @pytest.mark.parametrize("counts", [[1], [1] * 1000, [100_000, 1, 1], list(range(1, 700)), [1, 1, 5000] * 300])
 @pytest.mark.parametrize("wide", [False, True])
 def test_elias_fano(counts, wide):
