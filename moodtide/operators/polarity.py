@@ -12,13 +12,17 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from moodtide.functions.classes import opinion_class
 from moodtide.functions.numbers import clamp_score
 from moodtide.functions.text import clean_text, tokens
 from moodtide.operators.filters import require_columns
 from moodtide.schemas import NEGATIVE_TO, POSITIVE_FROM
+from moodtide.storage import store
 
 LOGIT_LIMIT = 500.0
 
@@ -30,6 +34,14 @@ ROW_OVERHEAD_BYTES = 64
 HEAD_ROWS = 200_000
 HEAD_TOKEN_CHARS = 64
 
+# Tokens that a task looks up at once, tokens of texts that ask for their weights together, and chunks
+# that ask for one token under one key.
+TASK_TOKENS = 200_000
+CHUNK_TOKENS = 1_000_000
+KEY_CHUNKS = 100_000
+# Bytes of text that a caller's function gets at once.
+SCORER_BYTES = 4_000_000
+
 
 def token_counts(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
     """Occurrences of every token in texts labelled 1 and in texts labelled 0.
@@ -98,34 +110,67 @@ def score_of(total: Column, known: Column) -> Column:
     return F.when((known > 0) & total.isNotNull(), 1 / (1 + F.exp(-z)))
 
 
+def _token_hashes(text_col: str) -> Column:
+    """Hashes of the tokens of a text; none for NULL."""
+    hashes = F.transform(F.array_remove(tokens(F.col(text_col)), ""), lambda t: F.xxhash64(t))
+    return F.coalesce(hashes, F.array().cast("array<bigint>"))
+
+
+def _sorted_weights(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and the weights of a model that is measured or bounded."""
+    found = model.select(F.xxhash64("token").alias("hash"), "weight").toPandas().sort_values("hash")
+    return found["hash"].to_numpy(np.int64), found["weight"].to_numpy(float)
+
+
+def runs_of_rows(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """First row and end of runs of rows whose sizes add up to at most ``limit``, one row at least."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield start, stop
+        start = stop
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all lists and the row of each."""
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), _sizes(lists))
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+
+
+def _looked_up(hashes: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each asked hash in the sorted ones, and whether it is there."""
+    if not len(hashes):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+    return at, hashes[at] == asked
+
+
 def _score_in_task(df: DataFrame, model: DataFrame, text_col: str) -> DataFrame:
     """Score and class added in the task that reads the text: no shuffle.
 
-    Spark cuts the text into tokens and hashes them; Arrow batches of hashes are looked up in the
-    sorted hashes of the model, which is measured to fit and travels once to every executor.
+    Spark cuts the text into tokens and hashes them; runs of Arrow rows are looked up in the sorted
+    hashes of the model, which is measured to fit and travels once to every executor.
     """
-    found = model.select(F.xxhash64("token").alias("hash"), "weight").toPandas().sort_values("hash")
-    shipped = df.sparkSession.sparkContext.broadcast((found["hash"].to_numpy(np.int64), found["weight"].to_numpy(float)))
+    shipped = df.sparkSession.sparkContext.broadcast(_sorted_weights(model))
 
-    @F.pandas_udf("double")
-    def mean_weight(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def mean_weight(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, weights = shipped.value
         for batch in batches:
-            lengths = np.fromiter((0 if t is None else len(t) for t in batch), np.int64, len(batch))
-            tokens = np.concatenate([t for t in batch if t is not None and len(t)] or [np.empty(0, np.int64)])
-            text = np.repeat(np.arange(len(batch)), lengths)
-            if len(hashes):
-                at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
-                known = hashes[at] == tokens
-            else:
-                at, known = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-            counts = np.bincount(text[known], minlength=len(batch))
-            totals = np.bincount(text[known], weights=weights[at[known]] if len(hashes) else None, minlength=len(batch))
-            yield pd.Series(totals / np.where(counts > 0, counts, 1)).where(counts > 0)
-
-    hashed = F.transform(F.array_remove(tokens(F.col(text_col)), ""), lambda t: F.xxhash64(t))
-    mean = mean_weight(hashed)
-    scored = df.withColumn("_mean", mean)
+            means = np.empty(len(batch))
+            for start, stop in runs_of_rows(_sizes(batch), TASK_TOKENS):
+                asked, text = _flat(batch.slice(start, stop - start))
+                at, known = _looked_up(hashes, asked)
+                counts = np.bincount(text[known], minlength=stop - start)
+                totals = np.bincount(text[known], weights=weights[at[known]], minlength=stop - start)
+                means[start:stop] = np.where(counts > 0, totals / np.maximum(counts, 1), np.nan)
+            yield pa.array(means, pa.float64(), mask=np.isnan(means))
+
+    scored = df.withColumn("_mean", mean_weight(_token_hashes(text_col)))
     return classify(scored.withColumn("sentiment_score", score_of(F.col("_mean"), F.lit(1))).drop("_mean"))
 
 
@@ -146,63 +191,119 @@ def frequent_tokens(model: DataFrame, limit: int) -> DataFrame:
     return short.filter(F.lit(False) if floor is None else F.col("occurrences") >= floor)
 
 
+ASKED = "_chunk long, _total double, _known long, _places array<int>, _asked array<long>"
+
+
+def _asked_in_chunks(texts: DataFrame, group: Sequence[str], head: DataFrame, chunk_tokens: int) -> DataFrame:
+    """A written table of two kinds of rows, from one pass over the texts.
+
+    Per text: its group, its chunk, the sum and number of its frequent tokens, and for every other one
+    its place in the list of the chunk. Per chunk of about ``chunk_tokens`` tokens: that list, each
+    distinct hash once.
+    """
+    shipped = texts.sparkSession.sparkContext.broadcast(_sorted_weights(head))
+    fields = [T.StructField(f.name, f.dataType) for f in texts.select(*group).schema]
+    schema = T.StructType([*fields, *T.StructType.fromDDL(ASKED).fields])
+
+    def rows_of(chunk: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, weights = shipped.value
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        values, text = _flat(rows["_tokens"])
+        at, known = _looked_up(hashes, values)
+        n, frequent = rows.num_rows, text[known]
+        asked, places = np.unique(values[~known], return_inverse=True)
+        ends = np.cumsum(np.append(0, np.bincount(text[~known], minlength=n))).astype(np.int32)
+        made = {
+            "_chunk": pa.array(np.full(n, chunk)),
+            "_total": pa.array(np.bincount(frequent, weights=weights[at[known]], minlength=n).astype(float)),
+            "_known": pa.array(np.bincount(frequent, minlength=n).astype(np.int64)),
+            "_places": pa.ListArray.from_arrays(pa.array(ends), pa.array(places.astype(np.int32))),
+            "_asked": pa.nulls(n, pa.list_(pa.int64())),
+        }
+        yield pa.RecordBatch.from_pydict({name: rows[name] for name in group} | made)
+        one = {name: pa.nulls(1, rows[name].type) for name in group}
+        one |= {name: pa.nulls(1, made[name].type) for name in ("_total", "_known", "_places")}
+        one |= {"_chunk": pa.array([chunk]), "_asked": pa.array([asked], pa.list_(pa.int64()))}
+        yield pa.RecordBatch.from_pydict({name: one[name] for name in [*group, *made]})
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            sizes = _sizes(batch["_tokens"])
+            for start, stop in runs_of_rows(sizes, chunk_tokens // 4):
+                held.append(batch.slice(start, stop - start))
+                size += int(sizes[start:stop].sum())
+                if size >= chunk_tokens:
+                    yield from rows_of(chunk, held)
+                    chunk, held, size = chunk + 1, [], 0
+        if held:
+            yield from rows_of(chunk, held)
+
+    return store(texts.select(*group, "_tokens").mapInArrow(chunks, schema), "asked_tokens")
+
+
 def _sums_with_split_model(
-    pieces: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int
+    texts: DataFrame, group: Sequence[str], model: DataFrame, head_rows: int, salts: int | None, chunk_tokens: int
 ) -> DataFrame:
-    """Frequent tokens by broadcast, the rest by a salted shuffle join.
+    """Frequent tokens by broadcast, the rest by a shuffle join of the distinct tokens of each chunk.
 
-    After the first join each text holds one row for all its frequent tokens and one per distinct
-    rare token. Rows that need no second join get a wide salt of their own, so neither the NULL key
-    nor a token that is rare in training but common here lands in one task.
+    A chunk asks for a token once, however often its texts hold it, and takes the weights to its texts'
+    lists of places. One token is one row per chunk, spread over ``salts`` keys.
     """
-    head = frequent_tokens(model, head_rows)
-    head_weights = F.broadcast(head.select(F.col("token").alias("_token"), F.col("weight").alias("_weight")))
-
-    spread = F.xxhash64(*group)
-    rest = F.when(F.col("_weight").isNull() & (F.col("_token") != ""), F.col("_token"))
-    first = (
-        pieces.join(head_weights, "_token", "left")
-        .groupBy(*group, rest.alias("_rest"))
-        .agg(F.sum("_weight").alias("_total"), F.count("_weight").alias("_known"), F.count("*").alias("_times"))
-        .withColumn("_salt", F.when(F.col("_rest").isNull(), spread).otherwise(F.pmod(spread, F.lit(salts))))
-    )
+    stored = _asked_in_chunks(texts, group, frequent_tokens(model, head_rows), chunk_tokens)
+    lists = stored.filter(F.col("_asked").isNotNull())
+    if salts is None:
+        salts = 1 + lists.count() // KEY_CHUNKS
+    asked = lists.select("_chunk", F.posexplode("_asked").alias("_place", "_token"))
     tail = model.select(
-        F.col("token").alias("_rest"),
-        F.col("weight").alias("_rest_weight"),
+        F.xxhash64("token").alias("_token"),
+        F.col("weight").alias("_weight"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
     )
-    found = F.col("_rest_weight").isNotNull()
-    return (
-        first.join(tail.hint("merge"), ["_rest", "_salt"], "left")
-        .groupBy(*group)
-        .agg(
-            F.sum(F.when(found, F.col("_rest_weight") * F.col("_times")).otherwise(F.col("_total"))).alias("_total"),
-            F.sum(F.when(found, F.col("_times")).otherwise(F.col("_known"))).alias("_known"),
-        )
-    )
+    salted = asked.withColumn("_salt", F.pmod(F.xxhash64("_chunk"), F.lit(salts)))
+    found = salted.join(tail.hint("merge"), ["_token", "_salt"])
+    found = found.select(F.col("_chunk").alias("_of"), "_place", "_weight")
+    rows = stored.filter(F.col("_asked").isNull()).drop("_asked")
+    fields = rows.select(*group, "_total", "_known").schema
+
+    def sums(rows: pa.Table, found: pa.Table) -> pa.Table:
+        lists = rows["_places"].combine_chunks()
+        places, text = _flat(lists)
+        at = found["_place"].to_numpy()
+        weights = np.full(max(places.max(initial=-1), at.max(initial=-1)) + 1, np.nan)
+        weights[at] = found["_weight"].to_numpy()
+        held = weights[places]
+        known = ~np.isnan(held)
+        totals = np.bincount(text[known], weights=held[known], minlength=len(lists)) + rows["_total"].to_numpy()
+        counts = np.bincount(text[known], minlength=len(lists)) + rows["_known"].to_numpy()
+        made = {"_total": pa.array(totals), "_known": pa.array(counts.astype(np.int64))}
+        return pa.table({name: rows[name] for name in group} | made)
+
+    return rows.groupBy("_chunk").cogroup(found.groupBy("_of")).applyInArrow(sums, fields)
 
 
 def _score_by_joins(
-    df: DataFrame, model: DataFrame, key: Sequence[str], text_col: str, head_rows: int, salts: int | None
+    df: DataFrame,
+    model: DataFrame,
+    key: Sequence[str],
+    text_col: str,
+    head_rows: int,
+    salts: int | None,
+    chunk_tokens: int = CHUNK_TOKENS,
 ) -> DataFrame:
     """Score and class added by joins, for a model too large to travel whole.
 
-    Copies add to the sum and to the number of tokens alike, so the mean weight of a group is that of
-    one text. Scores are joined back on the key and a hash of the text, NULL-safe.
+    Scores are joined back on the key and a hash of the text, NULL-safe; rows equal in both have one score.
     """
-    if salts is None:
-        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = df.withColumn("_hash", F.xxhash64(text_col))
-    group = [*key, "_hash", "_task"]
-    pieces = hashed.withColumn("_task", F.spark_partition_id()).select(
-        *group, F.explode_outer(tokens(F.col(text_col))).alias("_token")
-    )
-    sums = _sums_with_split_model(pieces, group, model, head_rows, salts)
+    group = [*key, "_hash"]
+    texts = hashed.select(*group, _token_hashes(text_col).alias("_tokens"))
+    sums = _sums_with_split_model(texts, group, model, head_rows, salts, chunk_tokens)
     scores = sums.select(*group, score_of(F.col("_total"), F.col("_known")).alias("_score"))
-    once = scores.groupBy(*key, "_hash").agg(F.max("_score").alias("sentiment_score"))
-    renamed = once.withColumnsRenamed({name: f"_score_{name}" for name in [*key, "_hash"]})
+    once = scores.groupBy(*group).agg(F.max("_score").alias("sentiment_score"))
+    renamed = once.withColumnsRenamed({name: f"_score_{name}" for name in group})
     on = F.lit(True)
-    for name in [*key, "_hash"]:
+    for name in group:
         on = on & hashed[name].eqNullSafe(renamed[f"_score_{name}"])
     columns = [hashed[name] for name in df.columns]
     return classify(hashed.join(renamed, on, "left").select(*columns, "sentiment_score"))
@@ -220,9 +321,10 @@ def score_text(
     """All rows and columns of ``df`` with score and class added.
 
     ``model`` should be a stored table: it is measured first. Up to ``broadcast_limit`` bytes it is
-    shipped to the executors and each text is scored where it is read. A larger one is joined: the
-    text is then shuffled once, and a rare token is spread over ``salts`` tasks (by default as many as
-    the session has shuffle partitions). Both ways give the same scores.
+    shipped to the executors and each text is scored where it is read. A larger one is joined with the
+    distinct rare tokens of chunks of texts; the rows are then shuffled once. A rare token that very
+    many chunks ask for is spread over ``salts`` keys (by default one per 100,000 chunks). Both ways
+    give the same scores.
     """
     require_columns(df, [*key, text_col])
     if fits_broadcast(model, broadcast_limit):
@@ -268,7 +370,7 @@ def score_with(
     text_col: str = "text",
     failures: Observation | None = None,
 ) -> DataFrame:
-    """Score with a caller's own function over Arrow batches of texts.
+    """Score with a caller's own function over Arrow batches of texts, at most 4 MB of text or one text at a time.
 
     ``load_scorer`` runs once per task and returns a function from a series of texts to one of
     scores, in the same order (``per_text`` makes one from a function for single texts). Blank texts
@@ -276,16 +378,24 @@ def score_with(
     (column ``failed``). An error of the batch function ends the task. The text is cleaned by Spark.
     """
 
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = load_scorer()
-        for texts in batches:
+
+        def some(texts: pd.Series) -> pa.Array:
             asked = texts.notna() & (texts != "")
             found = scorer(texts[asked])
             floats = pd.Series([v if isinstance(v, float) else None for v in found], index=found.index, dtype=object)
             # A scorer's own NaN is the lowest score; Arrow would turn it into NULL.
             numbers = [None if v is None else 0.0 if v != v else float(v) for v in floats]
-            yield pd.Series(numbers, index=found.index, dtype="float64").reindex(texts.index)
+            scored = pd.Series(numbers, index=found.index, dtype="float64").reindex(texts.index)
+            return pa.array(scored.to_numpy(), pa.float64(), from_pandas=True)
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy().astype(np.int64)
+            runs = runs_of_rows(sizes, SCORER_BYTES)
+            parts = [some(batch.slice(start, stop - start).to_pandas()) for start, stop in runs]
+            yield pa.concat_arrays([*parts, pa.nulls(0, pa.float64())])
 
     require_columns(df, [text_col])
     cleaned = df.withColumn("_clean", clean_text(F.col(text_col)))

@@ -90,6 +90,23 @@ def test_split_model_gives_the_same_scores(texts, model, head_rows, salts):
     assert values(split.select(rounded)) == values(whole.select(rounded))
 
 
+@pytest.mark.parametrize("chunk_tokens", [1, 7, 100])
+def test_chunks_of_any_size_give_the_same_scores(texts, model, chunk_tokens):
+    whole = polarity.score_text(texts, model, key=["id"])
+    split = polarity._score_by_joins(texts, model, ["id"], "text", 2, None, chunk_tokens)
+    rounded = [F.col("id"), F.round("sentiment_score", 12), F.col("sentiment_category")]
+    assert values(split.select(rounded)) == values(whole.select(rounded))
+
+
+def test_a_chunk_asks_once_for_a_token(spark, model):
+    """The rows of the join with the model grow with the distinct tokens of a chunk, not with its texts."""
+    df = spark.range(600).selectExpr("id", "'good bad rare rare once' || id % 5 AS text").repartition(3)
+    tokens = df.select("id", polarity._token_hashes("text").alias("_tokens"))
+    stored = polarity._asked_in_chunks(tokens, ["id"], model.limit(0), 10**6)
+    asked = stored.filter("_asked IS NOT NULL").selectExpr("_chunk", "explode(_asked) AS token")
+    assert asked.count() == asked.distinct().count() <= 3 * 8
+
+
 def test_unknown_texts(spark, model):
     rows = [("a", None), ("b", ""), ("c", "zzz qqq"), ("d", "!!!"), ("e", "@good http://good"), ("f", "good")]
     df = spark.createDataFrame(rows, "id string, text string")
@@ -186,6 +203,22 @@ def test_plugged_in_batch_scorer(spark):
     assert values(scored, "id", "sentiment_score") == [(0, 0.75), (1, None), (2, 0.25)]
 
 
+def test_a_batch_scorer_gets_bounded_series(spark):
+    df = spark.range(60).selectExpr("id", "repeat('ab ', 100000) AS text").coalesce(1)
+
+    def load():
+        return lambda texts: texts.map(lambda _: float(texts.str.len().sum() <= 4_000_000))
+
+    scored = polarity.score_with(df, load)
+    assert {r["sentiment_score"] for r in scored.collect()} == {1.0}
+
+
+def test_runs_of_rows():
+    runs = lambda *sizes: list(polarity.runs_of_rows(polarity.np.array(sizes, int), 10))
+    assert runs() == [] and runs(0, 0) == [(0, 2)] and runs(30) == [(0, 1)]
+    assert runs(4, 6, 1, 30, 0, 9, 2) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 7)]
+
+
 @pytest.mark.parametrize("limit", [0, 1, 3, 10, 10**6])
 def test_frequent_tokens_are_bounded_and_the_largest(model, limit):
     counts = {r["token"]: r["occurrences"] for r in model.collect()}
