@@ -27,6 +27,7 @@ from moodtide.functions.dates import day_string
 from moodtide.functions.numbers import epoch_seconds
 from moodtide.functions.text import clean_text as cleaned, join_text, not_blank
 from moodtide.operators import filters, polarity, records, reports
+from moodtide.storage import store_texts
 
 # The same character classes as the Spark side; only the name of the Han script differs.
 SPACE_SQL = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
@@ -256,4 +257,5 @@ def plugged_in_scorer(spark: SparkSession, folder: str) -> DataFrame:
         return lambda texts: 4 * texts.str.count("e") / texts.str.len()
 
     scored = polarity.score_with(table(spark, folder, "documents"), load)
-    return rounded(scored.select("doc_id", "sentiment_score", "sentiment_category"), "sentiment_score")
+    narrow = rounded(scored.select("doc_id", "sentiment_score", "sentiment_category"), "sentiment_score")
+    return store_texts(narrow, "scores")

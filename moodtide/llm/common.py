@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.storage import store
+from moodtide.storage import store, store_texts
 
 SHINGLE_WORDS = 5
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -45,25 +45,6 @@ def without_rows(documents: DataFrame, keys: DataFrame, limit: int = 32 * 1024 *
     return packed(documents).join(here, same, "left_anti").select("_document.*")
 
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = "1000"
-
-
-def store_texts(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that Python makes out of whole texts, with fewer rows to an Arrow batch meanwhile:
-    the default of 10,000 texts would take more memory than the work on them."""
-    spark = df.sparkSession
-    before = spark.conf.get(ARROW_ROWS, None)
-    spark.conf.set(ARROW_ROWS, BATCH_ROWS)
-    try:
-        return store(df, name)
-    finally:
-        if before is None:
-            spark.conf.unset(ARROW_ROWS)
-        else:
-            spark.conf.set(ARROW_ROWS, before)
-
-
 def bounded_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:

@@ -22,7 +22,7 @@ from moodtide.functions.numbers import clamp_score
 from moodtide.functions.text import clean_text, tokens
 from moodtide.operators.filters import require_columns
 from moodtide.schemas import NEGATIVE_TO, POSITIVE_FROM
-from moodtide.storage import store
+from moodtide.storage import store_texts
 
 LOGIT_LIMIT = 500.0
 
@@ -239,7 +239,7 @@ def _asked_in_chunks(texts: DataFrame, group: Sequence[str], head: DataFrame, ch
         if held:
             yield from rows_of(chunk, held)
 
-    return store(texts.select(*group, "_tokens").mapInArrow(chunks, schema), "asked_tokens")
+    return store_texts(texts.select(*group, "_tokens").mapInArrow(chunks, schema), "asked_tokens")
 
 
 def _sums_with_split_model(
@@ -376,6 +376,8 @@ def score_with(
     scores, in the same order (``per_text`` makes one from a function for single texts). Blank texts
     are not passed to it. A result that is not a float gives no score; ``failures`` counts those
     (column ``failed``). An error of the batch function ends the task. The text is cleaned by Spark.
+    The memory of a task also holds two Arrow batches as the session sizes them: write the result
+    with ``storage.store_texts`` or within ``small_batches`` to keep those short.
     """
 
     @F.arrow_udf("double")

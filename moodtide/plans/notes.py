@@ -13,7 +13,7 @@ from moodtide.plans.trend import forecast_daily
 from moodtide.schemas import COMMENTS, DETAIL_SAMPLE_ROWS, NOTES, REPORTS, TOP_LOCATION_ROWS, TOP_TAG_ROWS
 from moodtide.sources.generations import new_generation, publish
 from moodtide.sources.writers import write_report, write_sample, write_table
-from moodtide.storage import store
+from moodtide.storage import small_batches, store
 
 KEY = ["type", "id"]
 DETAIL_ORDER = [*KEY, "create_time", "text"]
@@ -66,7 +66,8 @@ def _scored_reports(
     texts: DataFrame, model: DataFrame, folder: str, horizon: int, test_size: float, zone: str | None
 ) -> None:
     scored = score_text(texts, model, key=KEY)
-    write_table(scored, f"{folder}/scored", "sentiment_category")
+    with small_batches(texts.sparkSession):
+        write_table(scored, f"{folder}/scored", "sentiment_category")
     scored = texts.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
 
     # One pass over the scored rows for all counts and the daily series.

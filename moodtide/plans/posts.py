@@ -11,7 +11,7 @@ from moodtide.operators.reports import counting
 from moodtide.schemas import POST_SAMPLE_ROWS
 from moodtide.sources.generations import new_generation, publish
 from moodtide.sources.writers import write_report, write_table
-from moodtide.storage import store
+from moodtide.storage import small_batches, store
 
 
 def analyse_posts(posts: DataFrame, model: DataFrame, folder: str) -> dict[str, int]:
@@ -24,7 +24,8 @@ def analyse_posts(posts: DataFrame, model: DataFrame, folder: str) -> dict[str,
     spark, top, folder = posts.sparkSession, folder, new_generation(folder)
     table = f"{folder}/sentiment_results"
     watched, counted = counting(score_text(nonempty_posts(posts), model, key=["id"]), "posts_scored")
-    write_table(watched, table)
+    with small_batches(spark):
+        write_table(watched, table)
     scored = spark.read.schema(watched.schema).parquet(table)
 
     counts = store(cube.report_cube(scored, ["class", "platform"]), "report_cube")

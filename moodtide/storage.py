@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,28 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows to an Arrow batch meanwhile, for tables that Python makes out of whole texts: the default of
+    10,000 texts would take more memory than the work on them. What is written inside is planned with it."""
+    before = spark.conf.get(ARROW_ROWS, None)
+    spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_ROWS)
+        else:
+            spark.conf.set(ARROW_ROWS, before)
+
+
+def store_texts(df: DataFrame, name: str) -> DataFrame:
+    """``store`` in small batches."""
+    with small_batches(df.sparkSession):
+        return store(df, name)

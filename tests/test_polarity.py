@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from moodtide.operators import polarity
-from moodtide.storage import store
+from moodtide.storage import small_batches, store, store_texts
 from tests.conftest import plan_of, values
 
 RANDOM = random.Random(7)
@@ -213,6 +213,17 @@ def test_a_batch_scorer_gets_bounded_series(spark):
     assert {r["sentiment_score"] for r in scored.collect()} == {1.0}
 
 
+def test_flows_score_in_small_arrow_batches(spark):
+    """A write inside is planned with the short batches; the session's own setting is back afterwards, after errors too."""
+    sizes = F.arrow_udf(lambda t: polarity.pa.array([len(t)] * len(t), polarity.pa.int64()), "long")
+    df = spark.range(5000).coalesce(1).select(sizes(F.col("id").cast("string")).alias("n"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert store_texts(df, "sizes").agg(F.max("n")).first()[0] <= 1000
+    with pytest.raises(ValueError), small_batches(spark):
+        raise ValueError
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_runs_of_rows():
     runs = lambda *sizes: list(polarity.runs_of_rows(polarity.np.array(sizes, int), 10))
     assert runs() == [] and runs(0, 0) == [(0, 2)] and runs(30) == [(0, 1)]
