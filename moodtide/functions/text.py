@@ -15,12 +15,18 @@ MENTION_PATTERN = rf"@[{WORD}]+"
 SPACE_RUN_PATTERN = rf"[{SPACE}]+"
 # The script starts at U+2E80; testing the range first spares Latin letters the script lookup.
 HAN_PATTERN = r"([\x{2e80}-\x{10ffff}&&\p{IsHan}])"
-TOKEN_GAP_PATTERN = r"[^\p{L}\p{N}]+"
+# Everything but letters and digits of lower-case text; ASCII ranges first spare most characters the lookup.
+TOKEN_GAP_PATTERN = r"[\x00-\x2f\x3a-\x60\x7b-\x7f[\x{80}-\x{10ffff}&&[^\p{L}\p{N}]]]+"
 
 
 def strip_noise(text: Column) -> Column:
-    """Drop links, then mentions. The order matters: a link may contain ``@``."""
-    return F.regexp_replace(F.regexp_replace(text, URL_PATTERN, ""), MENTION_PATTERN, "")
+    """Drop links, then mentions. The order matters: a link may contain ``@``.
+
+    Texts without the first letters of a pattern are not searched with it.
+    """
+    no_links = F.when(F.contains(text, F.lit("http")), F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
+    no_mentions = F.regexp_replace(no_links, MENTION_PATTERN, "")
+    return F.when(F.contains(text, F.lit("@")), no_mentions).otherwise(no_links)
 
 
 def clean_text(text: Column) -> Column:
@@ -35,7 +41,9 @@ def tokens(text: Column) -> Column:
     letter or digit makes them redundant, and they cost a pass over the text. The array may hold
     empty pieces at its ends; no model contains the empty token.
     """
-    spaced = F.regexp_replace(strip_noise(text), HAN_PATTERN, " $1 ")
+    stripped = strip_noise(text)
+    not_ascii = F.octet_length(text) > F.length(text)
+    spaced = F.when(not_ascii, F.regexp_replace(stripped, HAN_PATTERN, " $1 ")).otherwise(stripped)
     return F.split(F.lower(spaced), TOKEN_GAP_PATTERN)
 
 

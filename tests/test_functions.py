@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from moodtide.functions import classes, dates, numbers, text
+from tests.conftest import plan_of
 
 
 def one(spark, rows, kind, build):
@@ -121,3 +122,20 @@ def test_han_pattern_covers_the_whole_script(spark):
 def test_not_blank(spark):
     rows = [None, "", "  ", "\t", "　", " a "]
     assert one(spark, rows, "string", text.not_blank) == [False, False, False, True, True, True]
+
+
+def test_guards_and_ranges_change_no_token(spark):
+    """Against the plain patterns, on every kind of character, alone, between letters and beside links and mentions."""
+    signs = [chr(c) for c in (*range(0x3100), *range(0x4E00, 0x4E20), *range(0xA000, 0xA100), 0x1F389, 0x20000, 0x2F800)]
+    forms = ["{}", "aB{}cD", "x {} y", "http://a{}b @u{}v", "ht{}tp://a @", "HTTP://{} https://{} {}@q", "İ{}K"]
+    rows = [(form.replace("{}", c),) for c in signs for form in forms]
+    df = spark.createDataFrame([*rows, (None,), ("",)], "text string")
+    stripped = F.regexp_replace(F.regexp_replace("text", text.URL_PATTERN, ""), text.MENTION_PATTERN, "")
+    plain = F.split(F.lower(F.regexp_replace(stripped, text.HAN_PATTERN, " $1 ")), r"[^\p{L}\p{N}]+")
+    wrong = ~(text.tokens(F.col("text")).eqNullSafe(plain) & text.strip_noise(F.col("text")).eqNullSafe(stripped))
+    assert df.filter(wrong).count() == 0
+
+
+def test_plain_texts_are_not_searched_for_links(spark):
+    plan = plan_of(spark.range(1).select(text.tokens(F.col("id").cast("string"))))
+    assert "CASE WHEN" in plan and "contains(" in plan.lower()
